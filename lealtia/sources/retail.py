@@ -50,7 +50,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("segment"),
     )
     idle = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
-        (-F.col("s_suppkey")).alias("id_cliente"),
+        (-F.col("s_suppkey") - 1).alias("id_cliente"),
         F.col("s_suppkey").alias("member"),
         F.col("s_nationkey").alias("n_nationkey"),
         F.col("s_acctbal").alias("saldo_puntos"),
