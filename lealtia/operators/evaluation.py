@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lealtia.functions.scalars import INTENSITY_CLASSES
 from lealtia.operators.order import running_totals
+from lealtia.session import staged
 
 
 def mean_absolute_error(df: DataFrame, truth: str, score: str) -> DataFrame:
@@ -123,7 +124,7 @@ def score_totals(df: DataFrame, truth: str, score: str) -> DataFrame:
         .groupBy(F.col(score).cast("double").alias("score"))
         .agg(F.count_if(hit).alias("pos"), F.count_if(~hit).alias("neg"))
     )
-    return running_totals(per_score, "score", ["pos", "neg"])
+    return running_totals(staged(per_score, "scores"), "score", ["pos", "neg"])
 
 
 def roc_auc(df: DataFrame, truth: str, score: str) -> DataFrame:

@@ -42,7 +42,7 @@ def stratified_split(
 ) -> DataFrame:
     """Adds ``is_test``: per class exactly its quota of rows, the first in shuffled order.
 
-    No class is ever sorted. Rows are counted by class and the first digits of their shuffle key,
+    ``df`` is read three times, so it should be a stored table. No class is ever sorted. Rows are counted by class and the first digits of their shuffle key,
     which tells in which of the 4,096 slices the last test row of a class lies; only that slice is put
     in order. Its row then serves as the class's limit, looked up by every row where it is.
     """

@@ -38,7 +38,7 @@ class Trained:
 
 def prepare(supervised: DataFrame) -> DataFrame:
     """Supervised table with the class code and the split, written once for all models."""
-    coded = supervised.withColumn(TARGET_ORDINAL, class_code(TARGET).cast("double"))
+    coded = staged(supervised.withColumn(TARGET_ORDINAL, class_code(TARGET).cast("double")), "supervised")
     return staged(stratified_split(coded, TARGET), "prepared")
 
 
@@ -56,7 +56,7 @@ def train(name: str, prepared: DataFrame, **settings) -> Trained:
     features = feature_names(prepared)
     training = prepared.where(~F.col("is_test"))
     model = MODELS[name](training, features, **settings)
-    predictions = score(model, prepared.where("is_test"))
+    predictions = staged(score(model, prepared.where("is_test")), "predictions")
     return Trained(name, model, features, training.count(), predictions)
 
 

@@ -457,13 +457,14 @@ def ml_roc_curve(spark, sf_dir):
 
 @query
 def ml_split(spark, sf_dir):
-    return sp.stratified_split(fe.target(transactions(spark, sf_dir)), fe.TARGET).select(ID, fe.TARGET, "is_test")
+    labels = staged(fe.target(transactions(spark, sf_dir)), "labels")
+    return sp.stratified_split(labels, fe.TARGET).select(ID, fe.TARGET, "is_test")
 
 
 @query
 def ml_split_counts(spark, sf_dir):
-    split = sp.stratified_split(fe.target(transactions(spark, sf_dir)), fe.TARGET)
-    return sp.split_sizes(split, fe.TARGET)
+    labels = staged(fe.target(transactions(spark, sf_dir)), "labels")
+    return sp.split_sizes(sp.stratified_split(labels, fe.TARGET), fe.TARGET)
 
 
 def model_scores(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
