@@ -371,21 +371,55 @@ def plain(x: str, name: str) -> str:
     return f'{rounded(f"coalesce({x}, 0.0)")} AS "{name}"'
 
 
-statement(
-    "feat_supervised",
-    f"""SELECT a.id_cliente, coalesce(estrato_social, 0) AS estrato_social, {plain('saldo_puntos', 'saldo_puntos')},
+def exact(x: str, name: str) -> str:
+    return f'coalesce({x}, 0.0) AS "{name}"'
+
+
+def supervised_table(number) -> str:
+    return f"""supervised AS MATERIALIZED (SELECT a.id_cliente, coalesce(estrato_social, 0) AS estrato_social, {number('saldo_puntos', 'saldo_puntos')},
     coalesce({age('last_date', 'fecha_nacimiento')}, 0) AS edad, num_tx_total, total_gasto,
-    CAST(0 AS BIGINT) AS recencia_dias, {plain(log_value('num_tx_total'), 'log_num_tx_total')},
-    {plain(log_value('total_gasto'), 'log_total_gasto')},
+    CAST(0 AS BIGINT) AS recencia_dias, {number(log_value('num_tx_total'), 'log_num_tx_total')},
+    {number(log_value('total_gasto'), 'log_total_gasto')},
     num_tx_3m, gasto_3m, puntos_ganados_3m, puntos_redimidos_3m,
     num_tx_6m, gasto_6m, puntos_ganados_6m, puntos_redimidos_6m, "gasto_TECNOLOGIA_12m",
-    {plain('"gasto_TECNOLOGIA_12m" / (year_total + 1)', 'pct_tecnologia_12m')},
+    {number('"gasto_TECNOLOGIA_12m" / (year_total + 1)', 'pct_tecnologia_12m')},
     CAST("gasto_TECNOLOGIA_12m" > 0 AS INTEGER) AS compra_tecnologia,
-    {plain('avg_gasto_tecnologia_3m', 'avg_gasto_tecnologia_3m')},
-    {plain('avg_gasto_tecnologia_6m', 'avg_gasto_tecnologia_6m')},
+    {number('avg_gasto_tecnologia_3m', 'avg_gasto_tecnologia_3m')},
+    {number('avg_gasto_tecnologia_6m', 'avg_gasto_tecnologia_6m')},
     {label(4, 2, 1)} AS target_compra_tecnologia
-    FROM slim a LEFT JOIN cust c USING (id_cliente)""",
+    FROM slim a LEFT JOIN cust c USING (id_cliente))"""
+
+
+statement("feat_supervised", "SELECT * FROM supervised", SLIM, supervised_table(plain))
+SUPERVISED_NUMBERS = [
+    "estrato_social",
+    "saldo_puntos",
+    "edad",
+    "num_tx_total",
+    "total_gasto",
+    "recencia_dias",
+    "log_num_tx_total",
+    "log_total_gasto",
+    *[f"{m}_{name}" for name in ("3m", "6m") for m in ("num_tx", *MEASURES)],
+    "gasto_TECNOLOGIA_12m",
+    "pct_tecnologia_12m",
+    "compra_tecnologia",
+    "avg_gasto_tecnologia_3m",
+    "avg_gasto_tecnologia_6m",
+]
+statement(
+    "ml_standard_scale",
+    f"""SELECT id_cliente, feature, {rounded('coalesce((value - mean) / nullif(deviation, 0), 0)')} AS value
+    FROM tall JOIN (SELECT feature, avg(value) AS mean, stddev_pop(value) AS deviation FROM tall GROUP BY feature)
+    USING (feature)""",
     SLIM,
+    supervised_table(exact),
+    "tall AS MATERIALIZED ("
+    + " UNION ALL ".join(
+        f"""SELECT id_cliente, '{c}' AS feature, CAST("{c}" AS DOUBLE) AS value FROM supervised"""
+        for c in SUPERVISED_NUMBERS
+    )
+    + ")",
 )
 SELECTED = [
     "num_tx_total",

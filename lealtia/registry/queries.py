@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,18 +26,20 @@ from lealtia.operators import correlation as co
 from lealtia.operators import evaluation as ev
 from lealtia.operators import explore as ex
 from lealtia.operators import features as fe
+from lealtia.operators import regressors as rg
 from lealtia.operators import reports as rp
 from lealtia.operators import split as sp
 from lealtia.operators.anchor import ID, last_transaction, with_anchor
 from lealtia.operators.scaling import robust_scaled
 from lealtia.plans import customer_features as cf
+from lealtia.plans import segmentation as sg
 from lealtia.plans import training as tr
 from lealtia.plans.scoring import score_csv
 from lealtia.session import fresh_path, staged
 from lealtia.sinks.writers import save_model, write_csv
 from lealtia.sources.readers import customers as typed_customers
 from lealtia.sources.readers import transactions as typed_transactions
-from lealtia.sources.retail import raw_customers, raw_transacciones
+from lealtia.sources.retail import raw_customers, raw_transacciones, stored_transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,7 +72,7 @@ def query(function: Query) -> Query:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return typed_transactions(raw_transacciones(spark, sf_dir))
+    return typed_transactions(stored_transactions(spark, sf_dir))
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,11 +312,11 @@ def stat_reduced(spark, sf_dir):
 
 
 def clustering_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cf.clustering_features(co.reduced(staged(full_features(spark, sf_dir), "features")))
+    return sg.clustering_set(staged(full_features(spark, sf_dir), "features"))
 
 
 def segment_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staged(cl.scaled_points(clustering_set(spark, sf_dir)), "points")
+    return sg.segment_points(staged(full_features(spark, sf_dir), "features"))
 
 
 def labelled_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -365,15 +369,17 @@ def clu_kmeans_sweep(spark, sf_dir):
 
 @query
 def clu_kmeans_labels(spark, sf_dir):
-    points = segment_points(spark, sf_dir)
-    return cl.assign(cl.fit_kmeans(points, cl.CLUSTERS), points).select(ID, "cluster")
+    return sg.segments(segment_points(spark, sf_dir)).labels()
+
+
+@query
+def clu_kmeans_metrics(spark, sf_dir):
+    return sg.segments(segment_points(spark, sf_dir)).metrics()
 
 
 @query
 def clu_profile(spark, sf_dir):
-    points = segment_points(spark, sf_dir)
-    labelled = cl.assign(cl.fit_kmeans(points, cl.CLUSTERS), points)
-    return cl.cluster_profile(labelled.drop(ID))
+    return sg.segments(segment_points(spark, sf_dir)).profile()
 
 
 @query
@@ -467,6 +473,16 @@ def ml_split_counts(spark, sf_dir):
     return sp.split_sizes(sp.stratified_split(labels, fe.TARGET), fe.TARGET)
 
 
+@query
+def ml_standard_scale(spark, sf_dir):
+    coded = supervised(spark, sf_dir).drop(fe.TARGET)
+    table = staged(coded, "supervised")
+    names = [c for c in table.columns if c != ID]
+    scaled = Pipeline(stages=rg.scaled_features(names, table.count())).fit(table).transform(table)
+    values = vector_to_array("features")
+    return co.unpivot(scaled.select(ID, *[values[i].alias(c) for i, c in enumerate(names)]), ID)
+
+
 def model_scores(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = tr.train(name, tr.prepare(supervised(spark, sf_dir))).predictions
     return scored.select(ID, fe.TARGET, "target_ordinal", "prediction", "predicted_class")
@@ -494,6 +510,11 @@ def ml_compare(spark, sf_dir):
     return tr.compare(metrics[0].unionByName(metrics[1]).unionByName(metrics[2]))
 
 
+@query
+def ml_metrics(spark, sf_dir):
+    return tr.metric_rows(tr.train("ElasticNet", tr.prepare(supervised(spark, sf_dir))))
+
+
 @query
 def ml_batch_score(spark, sf_dir):
     prepared = tr.prepare(supervised(spark, sf_dir))

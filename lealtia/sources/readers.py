@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from lealtia.functions.scalars import parse_timestamp
 from lealtia.sources.schemas import CUSTOMERS, TRANSACTIONS, conform
 
 
@@ -29,11 +28,16 @@ def read_table(spark: SparkSession, name: str, schema: T.StructType | None = Non
     return conform(df, schema) if schema is not None else df
 
 
+def dated(schema: T.StructType, date: str) -> T.StructType:
+    """``schema`` with its date as a timestamp."""
+    return T.StructType([T.StructField(f.name, T.TimestampNTZType() if f.name == date else f.dataType) for f in schema])
+
+
 def transactions(df: DataFrame) -> DataFrame:
-    """Transactions with ``fecha`` parsed; dates that do not parse become null."""
-    return conform(df, TRANSACTIONS).withColumn("fecha", parse_timestamp("fecha"))
+    """Transactions with ``fecha`` as a timestamp; texts that do not parse become null."""
+    return conform(df, dated(TRANSACTIONS, "fecha"))
 
 
 def customers(df: DataFrame) -> DataFrame:
-    """Customers with ``fecha_nacimiento`` parsed; dates that do not parse become null."""
-    return conform(df, CUSTOMERS).withColumn("fecha_nacimiento", parse_timestamp("fecha_nacimiento"))
+    """Customers with ``fecha_nacimiento`` as a timestamp; texts that do not parse become null."""
+    return conform(df, dated(CUSTOMERS, "fecha_nacimiento"))

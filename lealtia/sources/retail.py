@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 
 
 def raw_transacciones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions the way a text source delivers them: dates as text."""
+    return stored_transactions(spark, sf_dir).withColumn("fecha", F.col("fecha").cast("string"))
+
+
+def stored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions the way a typed table stores them: dates as timestamps."""
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
@@ -31,7 +37,7 @@ def raw_transacciones(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id_transaccion"),
             F.col("o_custkey").alias("id_cliente"),
-            F.col("l_shipdate").cast("string").alias("fecha"),
+            F.col("l_shipdate").cast("timestamp_ntz").alias("fecha"),
             category.alias("categoria"),
             F.when(returned, "Redemption").otherwise("Sale").alias("tipo_transaccion"),
             F.when(F.col("l_orderkey") % 97 == 0, -price).otherwise(price).alias("valor_transaccion"),
