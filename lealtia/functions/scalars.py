@@ -45,8 +45,8 @@ def parse_number(value: Column | str) -> Column:
 
 def round_even(value: Column | str, digits: int = 2) -> Column:
     """Round half to even at ``digits`` decimals; never returns negative zero."""
-    scale = F.lit(float(10**digits))
-    return F.rint(as_column(value) * scale) / scale + F.lit(0.0)
+    scale = float(10**digits)
+    return F.rint(as_column(value) * scale) / scale + 0.0
 
 
 def steady(value: Column | str) -> Column:

@@ -39,7 +39,7 @@ from lealtia.session import fresh_path, staged
 from lealtia.sinks.writers import save_model, write_csv
 from lealtia.sources.readers import customers as typed_customers
 from lealtia.sources.readers import transactions as typed_transactions
-from lealtia.sources.retail import raw_customers, raw_transacciones, stored_transactions
+from lealtia.sources.retail import raw_customers, raw_transacciones, scan, stored_transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -320,7 +320,7 @@ def segment_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    vectors = scan(spark, sf_dir, "embeddings")
     return vectors.select(
         F.col("label").alias("cluster"), F.col("embedding").cast("array<double>").alias("features")
     )

@@ -9,6 +9,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The columns used, so that no job is spent on finding the schema of a table.
+COLUMNS = {
+    "lineitem": "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+    "l_returnflag string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey long, o_custkey long",
+    "part": "p_partkey long, p_type string",
+    "customer": "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+}
+
+
+def scan(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(COLUMNS[table]).parquet(f"{sf_dir}/{table}.parquet")
+
 
 def raw_transacciones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions the way a text source delivers them: dates as text."""
@@ -17,9 +33,9 @@ def raw_transacciones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions the way a typed table stores them: dates as timestamps."""
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    lineitem = scan(spark, sf_dir, "lineitem")
+    orders = scan(spark, sf_dir, "orders")
+    part = scan(spark, sf_dir, "part")
     kind = F.col("p_type")
     category = (
         F.when(kind == "ECONOMY", "TECNOLOGIA")
@@ -47,15 +63,15 @@ def stored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name")
-    buyers = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+    nation = scan(spark, sf_dir, "nation")
+    buyers = scan(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id_cliente"),
         F.col("c_custkey").alias("member"),
         F.col("c_nationkey").alias("n_nationkey"),
         F.col("c_acctbal").alias("saldo_puntos"),
         F.col("c_mktsegment").alias("segment"),
     )
-    idle = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
+    idle = scan(spark, sf_dir, "supplier").select(
         (-F.col("s_suppkey") - 1).alias("id_cliente"),
         F.col("s_suppkey").alias("member"),
         F.col("s_nationkey").alias("n_nationkey"),
