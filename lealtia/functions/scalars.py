@@ -61,6 +61,12 @@ def total(value: Column | str, condition: Column | None = None) -> Column:
     return steady(F.coalesce(F.sum(picked), F.lit(0.0)))
 
 
+def mean(value: Column | str) -> Column:
+    """Mean of the non-null values, from a sum that does not depend on the order of addition."""
+    value = as_column(value).cast("double")
+    return F.try_divide(steady(F.sum(value)), F.count(value))
+
+
 def occurrences(value: Column | str, condition: Column | None = None) -> Column:
     """Number of non-null values where ``condition`` holds."""
     value = as_column(value)

@@ -11,13 +11,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lealtia.functions.scalars import INTENSITY_CLASSES
+from lealtia.functions.scalars import INTENSITY_CLASSES, mean
 from lealtia.operators.order import running_totals
 from lealtia.session import staged
 
 
 def mean_absolute_error(df: DataFrame, truth: str, score: str) -> DataFrame:
-    return df.agg(F.avg(F.abs(F.col(truth) - F.col(score))).alias("mae_ordinal"))
+    return df.agg(mean(F.abs(F.col(truth) - F.col(score))).alias("mae_ordinal"))
 
 
 def accuracy(df: DataFrame, truth: str, predicted: str) -> DataFrame:

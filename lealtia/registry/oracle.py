@@ -60,6 +60,10 @@ def total(x: str, where: str = "true") -> str:
     return rounded(f"coalesce(sum({x}) FILTER (WHERE {where}), 0.0)")
 
 
+def mean(x: str) -> str:
+    return f"({rounded(f'sum(CAST({x} AS DOUBLE))')} / count({x}))"
+
+
 def date_text(x: str) -> str:
     return f"strftime({x}, '%Y-%m-%d %H:%M:%S')"
 
@@ -494,7 +498,7 @@ statement(
 statement(
     "clu_profile_stratum",
     "SELECT estrato_social, "
-    + ", ".join(f'{rounded(f"avg({c})", 2)} AS "{c}"' for c in NUMERIC if c != "estrato_social")
+    + ", ".join(f'{rounded(mean(c), 2)} AS "{c}"' for c in NUMERIC if c != "estrato_social")
     + " FROM features GROUP BY estrato_social",
     ACTIVE,
     FULL,
@@ -544,7 +548,7 @@ statement(
     f"SELECT id_cliente, truth, {rounded('score')} AS score, code, predicted FROM rated",
     RATED,
 )
-statement("ml_mae", f"SELECT {rounded('avg(abs(code - score))')} AS mae_ordinal FROM rated", RATED)
+statement("ml_mae", f"SELECT {rounded(mean('abs(code - score)'))} AS mae_ordinal FROM rated", RATED)
 statement(
     "ml_accuracy",
     f"SELECT {rounded('avg(CASE WHEN truth = predicted THEN 1.0 ELSE 0.0 END)')} AS accuracy FROM rated",
