@@ -29,5 +29,5 @@ def test_query_matches_sql(spark, connection, name):
 
 def test_entry_has_one_row_per_customer(spark):
     df = contract.entry(spark)
-    members = sum(spark.read.parquet(f"{SF_DIR}/{t}.parquet").count() for t in ("customer", "supplier"))
+    members = sum(spark.read.parquet(f"{contract.SMOKE_DIR}/{t}.parquet").count() for t in ("customer", "supplier"))
     assert df.count() == members
