@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+WAREHOUSE_KEY = "spark.sql.warehouse.dir"
+
+#: Paths this process has made in the shared folder and not yet removed.
+_own_paths: list[str] = []
 
 
 def build_session(app_name: str = "lealtia", master: str | None = None, **conf: str) -> SparkSession:
@@ -27,20 +30,34 @@ def build_session(app_name: str = "lealtia", master: str | None = None, **conf:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder. Only a local session without one gets a folder of its own."""
-    folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="lealtia-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    """The folder every executor reaches: the checkpoint folder, else the warehouse, on every master."""
+    folder = (
+        spark.conf.get(CHECKPOINT_KEY, None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get(WAREHOUSE_KEY)
+    )
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path of its own in the shared folder."""
-    return f"{shared_dir(spark)}/lealtia/{name}-{uuid.uuid4().hex}"
+    """A path of its own in the shared folder, removed by ``clear_staged``."""
+    path = f"{shared_dir(spark)}/lealtia/{name}-{uuid.uuid4().hex}"
+    _own_paths.append(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a path through Hadoop, so that any store works."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    if path in _own_paths:
+        _own_paths.remove(path)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this process; call it once their results have been used."""
+    for path in list(_own_paths):
+        remove_path(spark, path)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
