@@ -10,11 +10,18 @@ from pyspark.sql import functions as F
 from lealtia.llm.common import read_table
 from lealtia.llm.differencing import balanced_shards
 from lealtia.llm.lines import drop_shared_lines
+from lealtia.llm.near import near_duplicates
 from lealtia.llm.packing import pack
 from lealtia.llm.planes import read_ids, write_ids
+from lealtia.llm.quality import judge_documents
 from lealtia.session import fresh_path
 
 
+def op2_likelihood_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return judge_documents(docs, read_table(spark, sf_dir, "labels")).drop("text")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_shared_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
@@ -47,9 +54,15 @@ def op6_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_coordinate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_likelihood_ratio": op2_likelihood_ratio,
     "op3_line_dedup": op3_line_dedup,
     "op4_concat_and_cut": op4_concat_and_cut,
     "op5_byte_planes": op5_byte_planes,
     "op6_karmarkar_karp": op6_karmarkar_karp,
+    "op9_coordinate_join": op9_coordinate_join,
 }
