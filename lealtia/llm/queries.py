@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lealtia.llm.common import read_table
 from lealtia.llm.differencing import balanced_shards
+from lealtia.llm.fm_index import find_passages
 from lealtia.llm.lines import drop_shared_lines
 from lealtia.llm.near import near_duplicates
 from lealtia.llm.packing import pack
@@ -54,6 +55,18 @@ def op6_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return find_passages(docs, benchmark, ["doc_id"]).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op9_coordinate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -64,5 +77,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_concat_and_cut": op4_concat_and_cut,
     "op5_byte_planes": op5_byte_planes,
     "op6_karmarkar_karp": op6_karmarkar_karp,
+    "op8_fm_index": op8_fm_index,
     "op9_coordinate_join": op9_coordinate_join,
 }
