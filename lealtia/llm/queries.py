@@ -13,11 +13,27 @@ from lealtia.llm.fm_index import find_passages
 from lealtia.llm.lines import drop_shared_lines
 from lealtia.llm.near import near_duplicates
 from lealtia.llm.packing import pack
+from lealtia.llm.pii import KINDS, personal_spans
 from lealtia.llm.planes import read_ids, write_ids
 from lealtia.llm.quality import judge_documents
 from lealtia.session import fresh_path
 
 
+def op1_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_spans(read_table(spark, sf_dir, "documents"))
+    named = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    base = F.filter("spans", lambda s: s["strict"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(named(base).cast("binary"), 256).alias("base_sha256"),
+        named(F.col("spans")).alias("spans"),
+    )
+
+
 def op2_likelihood_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return judge_documents(docs, read_table(spark, sf_dir, "labels")).drop("text")
@@ -72,6 +88,7 @@ def op9_coordinate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_weak_supervision": op1_weak_supervision,
     "op2_likelihood_ratio": op2_likelihood_ratio,
     "op3_line_dedup": op3_line_dedup,
     "op4_concat_and_cut": op4_concat_and_cut,
