@@ -16,6 +16,7 @@ from lealtia.llm.packing import pack
 from lealtia.llm.pii import KINDS, personal_spans
 from lealtia.llm.planes import read_ids, write_ids
 from lealtia.llm.quality import judge_documents
+from lealtia.llm.site_text import extract_main_text
 from lealtia.session import fresh_path
 
 
@@ -87,6 +88,11 @@ def op9_coordinate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op10_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = extract_main_text(read_table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_weak_supervision": op1_weak_supervision,
     "op2_likelihood_ratio": op2_likelihood_ratio,
@@ -96,4 +102,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_karmarkar_karp": op6_karmarkar_karp,
     "op8_fm_index": op8_fm_index,
     "op9_coordinate_join": op9_coordinate_join,
+    "op10_site_templates": op10_site_templates,
 }
