@@ -16,6 +16,7 @@ from lealtia.llm.packing import pack
 from lealtia.llm.pii import KINDS, personal_spans
 from lealtia.llm.planes import read_ids, write_ids
 from lealtia.llm.quality import judge_documents
+from lealtia.llm.repeats import without_repeats
 from lealtia.llm.site_text import extract_main_text
 from lealtia.session import fresh_path
 
@@ -72,6 +73,11 @@ def op6_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeats(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     return find_passages(docs, benchmark, ["doc_id"]).select(
@@ -100,6 +106,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_concat_and_cut": op4_concat_and_cut,
     "op5_byte_planes": op5_byte_planes,
     "op6_karmarkar_karp": op6_karmarkar_karp,
+    "op7_repeated_strings": op7_repeated_strings,
     "op8_fm_index": op8_fm_index,
     "op9_coordinate_join": op9_coordinate_join,
     "op10_site_templates": op10_site_templates,
