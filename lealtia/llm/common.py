@@ -53,6 +53,11 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+def bound(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often a lambda in ``body`` reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of rows with about ``limit`` bytes; null is empty."""
     texts = texts.cast(pa.large_string())

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lealtia.llm.common import sized, stored
+from lealtia.llm.common import bound, sized, stored
 
 BUCKETS = 1 << 16
 #: Added to every bucket's count.
@@ -28,11 +28,6 @@ def word_list(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), lambda w: w != "")
 
 
-def bound(value: Column, body) -> Column:
-    """``body`` of a value that is worked out once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def with_words(df: DataFrame, text_column: str) -> DataFrame:
     return df.withColumn("__q_words", word_list(F.col(text_column))).withColumn(
         "__q_hash", F.transform("__q_words", lambda w: F.xxhash64(w))
@@ -138,5 +133,6 @@ def judge_documents(
         .withColumn("__q_weights", weights.scalar())
         .withColumn("score", F.when(length > 0, F.round(total / length, 9)).otherwise(F.lit(0.0)))
         .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
-        .select(*[F.col(f"`{c}`") for c in own], *measures)
+        # a generator, past which no filter moves: a filter on ``kept`` would work out every measure once more
+        .select(*[F.col(f"`{c}`") for c in own], F.inline(F.array(F.struct(*measures))))
     )

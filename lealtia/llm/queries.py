@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lealtia.llm.common import read_table
 from lealtia.llm.differencing import balanced_shards
 from lealtia.llm.fm_index import find_passages
@@ -110,4 +111,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fm_index": op8_fm_index,
     "op9_coordinate_join": op9_coordinate_join,
     "op10_site_templates": op10_site_templates,
+    "pipeline": corpus_pipeline.run,
 }
