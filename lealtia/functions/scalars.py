@@ -49,8 +49,13 @@ def round_even(value: Column | str, digits: int = 2) -> Column:
     return F.rint(as_column(value) * scale) / scale + 0.0
 
 
+def exact_sum(value: Column) -> Column:
+    """Sum of doubles as decimals with 12 digits, which no order of addition changes; as a double."""
+    return F.sum(value.cast("double").try_cast("decimal(38,12)")).cast("double")
+
+
 def steady(value: Column | str) -> Column:
-    """Drop the digits of a sum that depend on the order in which tasks added it up."""
+    """Six decimals of a sum or mean."""
     return round_even(value, 6)
 
 
@@ -58,13 +63,13 @@ def total(value: Column | str, condition: Column | None = None) -> Column:
     """Sum of the rows where ``condition`` holds; 0 if there are none."""
     value = as_column(value)
     picked = value if condition is None else F.when(condition, value)
-    return steady(F.coalesce(F.sum(picked), F.lit(0.0)))
+    return steady(F.coalesce(exact_sum(picked), F.lit(0.0)))
 
 
 def mean(value: Column | str) -> Column:
     """Mean of the non-null values, from a sum that does not depend on the order of addition."""
     value = as_column(value).cast("double")
-    return F.try_divide(steady(F.sum(value)), F.count(value))
+    return F.try_divide(steady(exact_sum(value)), F.count(value))
 
 
 def occurrences(value: Column | str, condition: Column | None = None) -> Column:

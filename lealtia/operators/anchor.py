@@ -12,11 +12,9 @@ from lealtia.functions.scalars import months_before
 ID = "id_cliente"
 LAST_DATE = "last_date"
 
-# A customer with at least this many rows may be joined by broadcast instead of by shuffle.
+# A customer with at least this many rows is joined by broadcast instead of by shuffle. There is at most
+# one per so many rows of the table, which bounds the broadcast.
 BUSY_ROWS = 1_000_000
-# At most this many are, the busiest first, which bounds the broadcast. Whoever is left out holds
-# less than one part in this many of all rows and goes through the ordinary shuffled join.
-BUSY_CUSTOMERS = 1_000
 
 
 def last_transaction(tx: DataFrame) -> DataFrame:
@@ -48,12 +46,7 @@ def with_anchor(tx: DataFrame, months: Iterable[int] = (), busy_rows: int = BUSY
     counted = known.groupBy(ID).agg(F.max("fecha").alias(LAST_DATE), F.count(F.lit(1)).alias("_rows"))
     edges = [months_before(LAST_DATE, m).alias(edge(m)) for m in sorted(set(months) - {0})]
     # Both uses read the same two aggregates, so Spark computes them once and reuses the exchange.
-    busy = (
-        counted.where(F.col("_rows") >= busy_rows)
-        .orderBy(F.desc("_rows"), F.desc(LAST_DATE), ID)
-        .limit(BUSY_CUSTOMERS)
-        .select(ID, LAST_DATE, *edges)
-    )
+    busy = counted.where(F.col("_rows") >= busy_rows).select(ID, LAST_DATE, *edges)
     anchors = counted.where(F.col("_rows") > 0).select(ID, LAST_DATE, *edges)
     held = known.join(F.broadcast(busy), ID)
     moved = known.join(F.broadcast(busy.select(ID)), ID, "left_anti").join(anchors, ID)

@@ -81,14 +81,18 @@ def customer_features(
     customers: DataFrame,
     categories: Sequence[str] | None = None,
     as_of: datetime | None = None,
+    thresholds: Sequence[int] | None = None,
 ) -> DataFrame:
     """Full feature table: one row per customer, inactive ones with zeros, rounded to 2 decimals.
 
-    ``categories`` fixes the category columns; without it they are looked up first.
+    ``categories`` fixes the category columns; without it they are looked up first. With ``thresholds``
+    the label comes along, from the same pass; it is null for inactive customers.
     """
     tx = fe.recode_category(tx)
     categories = sorted(categories) if categories is not None else fe.category_values(tx)
     months = fe.window_edges(fe.FULL_WINDOWS) | fe.window_edges(fe.TECH_WINDOWS) | {fe.YEAR}
+    if thresholds is not None:
+        months |= {fe.TARGET_MONTHS}
     spend_columns = [*categories, *([] if fe.TECH in categories else [fe.TECH])]
     active = fe.per_customer(
         with_anchor(tx, months),
@@ -96,7 +100,9 @@ def customer_features(
         fe.window_block(fe.FULL_WINDOWS),
         fe.category_block(spend_columns),
         fe.tech_mean_block(fe.TECH_WINDOWS),
+        [] if thresholds is None else fe.target_block(),
     )
+    label = F.when(F.col("num_tx_target").isNotNull(), intensity_class("num_tx_target", thresholds)) if thresholds else None
     logs = fe.log_columns(
         {
             "log_num_tx_total": "num_tx_total",
@@ -123,6 +129,7 @@ def customer_features(
         *[f"avg_gasto_tecnologia_{w.months}m" for w in fe.TECH_WINDOWS],
         age_in_years(LAST_DATE, "fecha_nacimiento").alias("edad"),
         *logs,
+        *([] if label is None else [label.alias(fe.TARGET)]),
     )
     return round_numbers(fill_numbers(wide))
 
@@ -157,9 +164,12 @@ def supervised_features(
     return fill_numbers(require_columns(wide, [ID, *SUPERVISED_FEATURES, fe.TARGET]))
 
 
-def selected_features(features: DataFrame, labels: DataFrame) -> DataFrame:
-    """The selected columns with the label; customers without one count as non-buyers."""
-    joined = features.join(labels.select(ID, fe.TARGET), ID, "left")
+def selected_features(features: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """The selected columns with the label; customers without one count as non-buyers.
+
+    Without ``labels`` the features have to hold the label already.
+    """
+    joined = features if labels is None else features.join(labels.select(ID, fe.TARGET), ID, "left")
     label = F.coalesce(F.col(fe.TARGET), F.lit(INTENSITY_CLASSES[0])).alias(fe.TARGET)
     wide = require_columns(joined, [ID, *SELECTED_FEATURES, fe.TARGET])
     return wide.select(ID, *SELECTED_FEATURES, label).dropna(subset=[fe.TARGET])

@@ -280,7 +280,8 @@ def feat_supervised(spark, sf_dir):
 
 @query
 def feat_supervised_selected(spark, sf_dir):
-    return cf.selected_features(full_features(spark, sf_dir), fe.target(transactions(spark, sf_dir)))
+    tables = transactions(spark, sf_dir), customers(spark, sf_dir)
+    return cf.selected_features(cf.customer_features(*tables, CATEGORIES, thresholds=LOCAL_THRESHOLDS))
 
 
 # Correlation
@@ -394,7 +395,7 @@ def clu_micro_merge(spark, sf_dir):
 
 @query
 def clu_ward(spark, sf_dir):
-    return cl.merged(segment_points(spark, sf_dir), radius=None).select(ID, "cluster")
+    return cl.merged(segment_points(spark, sf_dir)).select(ID, "cluster")
 
 
 @query

@@ -26,9 +26,10 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def append_metrics(metrics: DataFrame, path: str) -> None:
-    """Adds ``model``, ``metric``, ``value`` rows to one table, a folder per model."""
-    metrics.write.mode("append").partitionBy("model").parquet(path)
+def put_metrics(metrics: DataFrame, path: str) -> None:
+    """Puts ``model``, ``metric``, ``value`` rows into one table; a metric of a model that is there is replaced."""
+    rows = metrics.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows.partitionBy("model", "metric").parquet(path)
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:

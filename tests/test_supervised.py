@@ -168,8 +168,9 @@ def test_documents_metrics_and_comparison(spark, prepared, tmp_path):
     trained = tr.train("ElasticNet", prepared)
     other = tr.train("huber", prepared)
     path = str(tmp_path / "metrics")
-    wr.append_metrics(tr.metric_rows(trained), path)
-    wr.append_metrics(tr.metric_rows(other), path)
+    wr.put_metrics(tr.metric_rows(trained), path)
+    wr.put_metrics(tr.metric_rows(trained), path)
+    wr.put_metrics(tr.metric_rows(other), path)
     metrics = wr.read_metrics(spark, path)
     assert metrics.count() == 6
     table = tr.compare(metrics).collect()
