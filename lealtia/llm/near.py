@@ -4,27 +4,33 @@ Every text becomes a set of hashed word shingles and a signature of ``COORDINATE
 (coordinate, value) pairs are posted as tokens. Texts with the same set are one class from then on.
 Tokens of a single class are skipped. A pair of classes must agree in ``MATCHES`` coordinates, so it meets
 in a list of the rarest ``COORDINATES - MATCHES + 1`` tokens of both: only these prefixes are merged, which
-skips the long lists of common passages. Each list first links its members to one hub; only pairs that are
-still in different components are looked at after that. So a large group costs about its size, not its
-square. Every link is confirmed on the full sets.
+skips the long lists of common passages. Each list first links its members to a few hubs, in two rounds;
+only pairs that are still in different components are looked at after that. A pair becomes a row only if its sketches pass,
+so a large group of copies gives about as many rows as it has members. Every link is confirmed on the full
+sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lealtia.llm.common import MULTIPLIER, Powers, letter_values, mixed, sized, split_words, stored, text_slices
 
 SHINGLE = 5
 PERCENT = 75
-COORDINATES = 64
+COORDINATES = 128
 #: Fewer equal coordinates than this have a chance below 1e-4 at a similarity of 0.75.
-MATCHES = 34
+MATCHES = 76
+#: Bits of each coordinate in the sketch that travels with a post.
+SKETCH_BITS = 8
+#: Seeds of the orders that pick the hubs of a list, per round. Lists of one group pick the same hubs.
+HUB_ROUNDS = ((1, 2, 3, 4), (5, 6, 7, 8, 9, 10))
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -58,19 +64,36 @@ def signature(shingles: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     return mixed(least ^ (seeds * MULTIPLIER))
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """The low bits of all tokens, bit by bit: 64 tokens to a number."""
+    planes = [np.packbits((tokens >> np.uint64(bit) & np.uint64(1)).astype(np.uint8)) for bit in range(SKETCH_BITS)]
+    return np.concatenate(planes).view(np.uint64)
+
+
+def different(one: str, two: str, coordinates: int) -> Column:
+    """In how many coordinates two sketches differ; at most as many as the signatures do."""
+    words = coordinates // 64
+    total = F.lit(0)
+    for word in range(words):
+        bits = [F.get(one, F.lit(b * words + word)).bitwiseXOR(F.get(two, F.lit(b * words + word))) for b in range(SKETCH_BITS)]
+        total = total + F.bit_count(reduce(Column.bitwiseOR, bits))
+    return total
+
+
 def signatures(docs: DataFrame, width: int = SHINGLE, coordinates: int = COORDINATES) -> DataFrame:
-    """``doc_id``, ``n_shingles``, 128 bits for the set (``set_a``, ``set_b``) and ``tokens`` of every row."""
+    """``doc_id``, ``n_shingles``, 128 bits for the set (``set_a``, ``set_b``), ``tokens`` and ``sketch`` of every row."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         seeds = mixed(np.arange(1, coordinates + 1, dtype=np.uint64))
         for batch in batches:
-            sizes, first, second, tokens = [], [], [], []
+            sizes, first, second, tokens, sketches = [], [], [], [], []
             for shingles in text_sets(batch.column(1), width, powers):
                 sizes.append(len(shingles))
                 first.append(mixed(shingles ^ np.uint64(1)).sum(dtype=np.uint64))
                 second.append(mixed(shingles ^ np.uint64(2)).sum(dtype=np.uint64))
                 tokens.append(signature(shingles, seeds) if len(shingles) else np.zeros(0, np.uint64))
+                sketches.append(sketch(tokens[-1]).astype(np.int64))
             flat = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
             bounds = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -80,12 +103,13 @@ def signatures(docs: DataFrame, width: int = SHINGLE, coordinates: int = COORDIN
                     pa.array(np.array(first, np.uint64).astype(np.int64)),
                     pa.array(np.array(second, np.uint64).astype(np.int64)),
                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat.astype(np.int64))),
+                    pa.array(sketches, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "tokens"],
+                names=["doc_id", "n_shingles", "set_a", "set_b", "tokens", "sketch"],
             )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        rows, "doc_id long, n_shingles long, set_a long, set_b long, tokens array<long>"
+        rows, "doc_id long, n_shingles long, set_a long, set_b long, tokens array<long>, sketch array<long>"
     )
 
 
@@ -125,17 +149,48 @@ def prefix_posts(classes: DataFrame, coordinates: int, matches: int) -> DataFram
     return ranked.select("id", F.explode(F.transform(own, lambda x: x["token"])).alias("token"))
 
 
-def agreeing(pairs: DataFrame, classes: DataFrame, matches: int) -> DataFrame:
-    """The pairs (``a``, ``b``) whose signatures agree in at least ``matches`` coordinates."""
-    one = classes.select(F.col("doc_id").alias("a"), F.col("tokens").alias("tokens_a"))
-    two = classes.select(F.col("doc_id").alias("b"), F.col("tokens").alias("tokens_b"))
-    equal = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    return pairs.join(one, "a").join(two, "b").where(equal >= matches).select("a", "b").distinct()
+def agreeing(
+    posts: DataFrame,
+    others: DataFrame,
+    classes: DataFrame,
+    open_pair: Column,
+    coordinates: int,
+    matches: int,
+    percent: int,
+) -> DataFrame:
+    """Pairs (``a``, ``b``) of a post and one of the ``others`` with its token, of like size and with like sketches.
+
+    The test is part of the join, so only pairs that can be links become rows.
+    """
+    traits = classes.select("doc_id", "n_shingles", "sketch")
+    one = others.join(traits.toDF("a", "size_a", "sketch_a"), "a")
+    two = posts.join(traits.toDF("b", "size_b", "sketch_b"), "b")
+    like = (F.col("size_a") * 100 >= F.col("size_b") * percent) & (F.col("size_b") * 100 >= F.col("size_a") * percent)
+    near = different("sketch_a", "sketch_b", coordinates) <= coordinates - matches
+    met = one.join(two, (one["token"] == two["token"]) & open_pair & like & near)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def hubs_of(placed: DataFrame, seeds: Sequence[int]) -> DataFrame:
+    """``token``, hub ``a`` and its component ``x``: for each seed the first member of the list in its order."""
+    member = F.struct("id", "component")
+    firsts = [F.min_by(member, F.xxhash64(F.lit(seed), "id")) for seed in seeds]
+    hubs = placed.groupBy("token").agg(F.count("*").alias("n"), F.array_distinct(F.array(*firsts)).alias("hubs"))
+    each = hubs.where("n > 1").select("token", F.explode("hubs").alias("hub"))
+    return each.select("token", F.col("hub.id").alias("a"), F.col("hub.component").alias("x"))
+
+
+def open_lists(posts: DataFrame, found: DataFrame) -> DataFrame:
+    """The posts of lists with more than one component, with their ``component``."""
+    placed = stored(labelled(posts, found, "id"), "near-placed")
+    several = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    return stored(placed.join(several.select("token"), "token"), "near-open")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose full sets reach the similarity."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("wanted")).distinct()
+    ends = [pairs.select(F.col(end).alias("wanted")).distinct() for end in ("a", "b")]
+    wanted = ends[0].unionByName(ends[1]).distinct()
     some = docs.join(sized(wanted), F.col("doc_id") == F.col("wanted"), "left_semi")
     sets = stored(full_sets(some, width), "near-sets")
     one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
@@ -191,29 +246,33 @@ def near_duplicates(
     named = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     key = ["n_shingles", "set_a", "set_b"]
     classes = stored(
-        named.groupBy(key).agg(F.min_by("tokens", "doc_id").alias("tokens"), F.min("doc_id").alias("doc_id")), "near-classes"
+        named.groupBy(key)
+        .agg(F.min_by(F.struct("tokens", "sketch"), "doc_id").alias("s"), F.min("doc_id").alias("doc_id"))
+        .select(*key, "doc_id", "s.*"),
+        "near-classes",
     )
     posts = stored(prefix_posts(classes, coordinates, matches), "near-posts")
 
-    hubs = posts.groupBy("token").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    to_hub = posts.join(hubs, "token").where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    first = stored(confirmed(stored(agreeing(to_hub, classes, matches), "near-pairs"), docs, width, percent), "near-links")
-
-    placed = stored(labelled(posts, components(first), "id"), "near-placed")
-    mixed_lists = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    open_lists = placed.join(mixed_lists.select("token"), "token")
-    left = open_lists.select("token", F.col("id").alias("a"), F.col("component").alias("x"))
-    right = open_lists.select("token", F.col("id").alias("b"), F.col("component").alias("y"))
-    across = left.join(right, "token").where("x < y").select("a", "b").distinct()
-    second = confirmed(stored(agreeing(across, classes, matches), "near-pairs"), docs, width, percent)
-
-    found = components(first.unionByName(second))
+    tested = {"classes": classes, "coordinates": coordinates, "matches": matches, "percent": percent}
+    tested = {"classes": classes, "coordinates": coordinates, "matches": matches, "percent": percent}
+    placed, links = posts.withColumn("component", F.col("id")), None
+    for seeds in HUB_ROUNDS:
+        members = placed.select("token", F.col("id").alias("b"), F.col("component").alias("y"))
+        pairs = stored(agreeing(members, hubs_of(placed, seeds), open_pair=F.col("x") != F.col("y"), **tested), "near-pairs")
+        fresh = stored(confirmed(pairs, docs, width, percent), "near-links")
+        links = fresh if links is None else links.unionByName(fresh)
+        placed = open_lists(posts, components(links))
+    left = placed.select("token", F.col("id").alias("a"), F.col("component").alias("x"))
+    right = placed.select("token", F.col("id").alias("b"), F.col("component").alias("y"))
+    across = stored(agreeing(right, left, open_pair=F.col("x") < F.col("y"), **tested), "near-pairs")
+    found = components(links.unionByName(confirmed(across, docs, width, percent)))
     by_class = labelled(classes.select(*key, F.col("doc_id").alias("least")), found, "least").select(*key, "component")
-    joined = rows.drop("tokens").join(by_class, key, "left")
+    joined = rows.drop("tokens", "sketch").join(by_class, key, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return joined.select(
+    judged = joined.select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+    return stored(judged, "near-judged")
