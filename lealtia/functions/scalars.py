@@ -162,9 +162,12 @@ def class_code(label: Column | str) -> Column:
     return F.when(position > 0, position - 1)
 
 
-def score_class(score: Column | str) -> Column:
-    """Class of a continuous score; null outside the outer limits."""
+def score_class(score: Column | str, clamp: bool = False) -> Column:
+    """Class of a continuous score; null outside the outer limits, or with ``clamp`` the outermost class."""
     score = as_column(score)
+    if clamp:
+        inside = F.greatest(F.lit(SCORE_EDGES[0] + 0.25), F.least(F.lit(SCORE_EDGES[-1]), score))
+        score = F.when(score.isNotNull(), inside)
     picked = F.lit(None).cast("string")
     for name, low, high in reversed(list(zip(INTENSITY_CLASSES, SCORE_EDGES, SCORE_EDGES[1:]))):
         picked = F.when((score > low) & (score <= high), name).otherwise(picked)

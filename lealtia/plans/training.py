@@ -75,8 +75,14 @@ def metric_rows(trained: Trained) -> DataFrame:
     return table.select(F.lit(trained.name).alias("model"), "metric", "value")
 
 
+def missing_models(metrics: DataFrame, expected: Sequence[str]) -> DataFrame:
+    """The expected models that have no ordinal error, and so no place in the comparison."""
+    names = metrics.sparkSession.createDataFrame([(n,) for n in expected], "model string")
+    return names.join(metrics.where(F.col("metric") == "mae_ordinal"), "model", "left_anti").orderBy("model")
+
+
 def compare(metrics: DataFrame) -> DataFrame:
-    """Models by ordinal error, best first; a model without one does not appear."""
+    """Models by ordinal error, best first; ``missing_models`` names those without one."""
     errors = metrics.where(F.col("metric") == "mae_ordinal")
     return errors.select("model", F.col("value").alias("mae_ordinal")).orderBy("mae_ordinal", "model")
 

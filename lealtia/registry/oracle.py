@@ -150,11 +150,15 @@ statement(
 statement(
     "rep_monthly_points",
     """SELECT strftime(CAST(fecha AS TIMESTAMP), '%Y-%m') AS mes,
-    sum(CASE WHEN tipo_transaccion = 'Sale' THEN puntos ELSE 0 END) AS total_acumulacion,
-    sum(CASE WHEN tipo_transaccion = 'Redemption' THEN puntos ELSE 0 END) AS total_redencion
+    coalesce(sum(puntos) FILTER (tipo_transaccion = 'Sale'), 0) AS total_acumulacion,
+    coalesce(sum(puntos) FILTER (tipo_transaccion = 'Redemption'), 0) AS total_redencion
     FROM raw_transacciones GROUP BY 1 ORDER BY 1""",
 )
 
+for report in ("top_cities", "top_spend_category", "top_redeemed", "top_redeemed_magnitude", "top_balance",
+               "redeem_and_balance", "monthly_points"):  # the same reports, asked for in SQL
+    ORACLE[f"sql_{report}"] = ORACLE[f"rep_{report}"]
+
 # Exploration
 
 CLEAN = f"""clean AS (SELECT * FROM (SELECT *, {age("TIMESTAMP '2024-01-01'", 'fecha_nacimiento')} AS edad
@@ -525,6 +529,20 @@ SILHOUETTE = f"""SELECT {rounded('avg(CASE WHEN size > 1 THEN (b - a) / greatest
       count(*) AS members FROM points p, points q GROUP BY ALL) GROUP BY vec_id)"""
 statement("clu_davies_bouldin", DB, POINTS)
 statement("clu_calinski", CH, POINTS)
+SQUARED = """sums AS (SELECT cluster AS c, d, sum(v) AS y FROM dims GROUP BY ALL),
+    sizes AS (SELECT cluster AS c, count(*) AS n, sum(list_dot_product(x, x)) AS psi FROM points GROUP BY ALL),
+    dots AS (SELECT vec_id, c, sum(v * y) AS dot FROM dims JOIN sums USING (d) GROUP BY ALL),
+    gaps AS (SELECT vec_id, cluster = c AS own, n, (n * list_dot_product(x, x) + psi - 2 * dot)
+      / CASE WHEN cluster = c THEN greatest(n - 1, 1) ELSE n END AS gap
+      FROM dots JOIN points USING (vec_id) JOIN sizes USING (c)),
+    pairs AS (SELECT vec_id, max(n) FILTER (own) AS n, max(gap) FILTER (own) AS a, min(gap) FILTER (NOT own) AS b
+      FROM gaps GROUP BY ALL)"""
+statement(
+    "clu_silhouette_squared",
+    "SELECT 'cluster' AS labelling, avg(CASE WHEN n = 1 OR a = b THEN 0 ELSE (b - a) / greatest(a, b) END) AS value FROM pairs",
+    POINTS,
+    SQUARED,
+)
 statement("clu_silhouette", f"SELECT 'cluster' AS labelling, value FROM ({SILHOUETTE})", POINTS)
 statement(
     "clu_metrics",
@@ -536,13 +554,14 @@ statement(
 # Supervised learning and evaluation
 
 CLASSES = "['sin_compra', 'baja', 'media', 'alta']"
-RATED = f"""rated AS (SELECT *, CASE WHEN score > -0.5 AND score <= 0.5 THEN 'sin_compra'
+RATED = f"""{SLIM}, {supervised_table(plain)}, rated AS (SELECT *, CASE WHEN score > -0.5 AND score <= 0.5 THEN 'sin_compra'
     WHEN score > 0.5 AND score <= 1.5 THEN 'baja' WHEN score > 1.5 AND score <= 2.5 THEN 'media'
     WHEN score > 2.5 AND score <= 3.5 THEN 'alta' END AS predicted FROM (
-    SELECT id_cliente, {CLASSES}[abs(id_cliente) % 4 + 1] AS truth, CAST(abs(id_cliente) % 4 AS INTEGER) AS code,
-    CAST(abs(id_cliente) % 45 AS DOUBLE) / CAST(10 AS DOUBLE) - CAST(0.7 AS DOUBLE) AS score,
-    CASE WHEN abs(id_cliente) % 3 = 0 THEN 1 ELSE 0 END AS bought,
-    CAST(abs(id_cliente) % 100 AS DOUBLE) / CAST(100 AS DOUBLE) AS chance FROM raw_customers))"""
+    SELECT id_cliente, target_compra_tecnologia AS truth,
+    CAST(list_position({CLASSES}, target_compra_tecnologia) - 1 AS INTEGER) AS code,
+    total_gasto / (total_gasto + 500000) * 4.6::DOUBLE - 0.8::DOUBLE AS score,
+    CASE WHEN target_compra_tecnologia = 'sin_compra' THEN 0 ELSE 1 END AS bought,
+    total_gasto / (total_gasto + 1000000) AS chance FROM supervised))"""
 statement(
     "ml_bin_scores",
     f"SELECT id_cliente, truth, {rounded('score')} AS score, code, predicted FROM rated",

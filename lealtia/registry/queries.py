@@ -33,6 +33,7 @@ from lealtia.operators.anchor import ID, last_transaction, with_anchor
 from lealtia.operators.scaling import robust_scaled
 from lealtia.plans import customer_features as cf
 from lealtia.plans import segmentation as sg
+from lealtia.plans import sql_reports as sr
 from lealtia.plans import training as tr
 from lealtia.plans.scoring import score_csv
 from lealtia.session import fresh_path, staged
@@ -125,6 +126,17 @@ def rep_monthly_points(spark, sf_dir):
     return rp.monthly_points(raw_transacciones(spark, sf_dir))
 
 
+def sql_report(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        sr.register_views(raw_transacciones(spark, sf_dir), raw_customers(spark, sf_dir))
+        return sr.report(spark, name)
+
+    return run
+
+
+QUERIES.update({f"sql_{name}": sql_report(name) for name in sr.REPORTS})
+
+
 # Exploration
 
 
@@ -353,6 +365,12 @@ def clu_silhouette(spark, sf_dir):
     return cm.silhouettes(labelled_embeddings(spark, sf_dir), ["cluster"])
 
 
+@query
+def clu_silhouette_squared(spark, sf_dir):
+    points = labelled_embeddings(spark, sf_dir)
+    return spark.createDataFrame([("cluster", cm.silhouette_squared(points))], "labelling string, value double")
+
+
 @query
 def clu_metrics(spark, sf_dir):
     return cm.cluster_metrics(labelled_embeddings(spark, sf_dir))
@@ -407,15 +425,14 @@ def clu_pca(spark, sf_dir):
 
 
 def rated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with a class, its code and a score that covers all class limits, and a 0/1 outcome."""
-    member = F.abs(F.col(ID))
-    names = ev.label_column(INTENSITY_CLASSES)
-    return raw_customers(spark, sf_dir).select(
+    """Active customers with their class, a score and a chance made from their spend, and a 0/1 outcome."""
+    spend, truth = F.col("total_gasto"), F.col(fe.TARGET)
+    return staged(supervised(spark, sf_dir), "supervised").select(
         ID,
-        F.element_at(names, (member % 4 + 1).cast("int")).alias("truth"),
-        ((member % 45).cast("double") / 10 - 0.7).alias("score"),
-        F.when(member % 3 == 0, 1).otherwise(0).alias("bought"),
-        ((member % 100).cast("double") / 100).alias("chance"),
+        truth.alias("truth"),
+        (spend / (spend + 500_000) * 4.6 - 0.8).alias("score"),
+        F.when(truth == INTENSITY_CLASSES[0], 0).otherwise(1).alias("bought"),
+        (spend / (spend + 1_000_000)).alias("chance"),
     )
 
 

@@ -96,3 +96,15 @@ def test_sums_without_rows_are_zero(spark):
 def test_row_total_counts_nulls_as_zero(spark):
     df = spark.createDataFrame([(1.0, None, 2.0)], "a double, b double, c double")
     assert df.select(sc.row_total(["a", "b", "c"])).first()[0] == 3.0
+
+
+def test_clamped_scores_get_the_outermost_class(spark):
+    got = values(spark, sc.score_class("x", clamp=True), [-3.0, -0.5, 0.5, 3.6, 9.0, None], "double")
+    assert got == ["sin_compra", "sin_compra", "sin_compra", "alta", "alta", None]
+
+
+def test_totals_do_not_depend_on_the_order_of_addition(spark):
+    numbers = [1e10 + i * 0.01 for i in range(2000)]
+    frame = spark.createDataFrame([(x,) for x in numbers], "x double")
+    orders = [frame.repartition(p, "x").sort("x", ascending=a) for p in (1, 3, 7) for a in (True, False)]
+    assert len({df.agg(sc.total("x")).first()[0] for df in orders}) == 1
