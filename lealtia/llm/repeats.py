@@ -5,7 +5,8 @@ Neighbouring starts with the same anchor form a run, and equal strings have equa
 whose anchor stands elsewhere too can hold repeats: one count of anchors leaves out most of the text. The
 rest is refined in intervals: first whole runs are compared by a hash of all bytes they reach, then their
 parts of ``BLOCKS[0]`` starts, then single starts. An interval that two places share is repeated as a whole
-and leaves the refinement with one place as a witness; an interval without company is unique.
+and leaves the refinement with one place as a witness. An interval goes on only if its core, the bytes
+that all its strings have in common, is found at another interval too; else it is unique.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ GRAM = 280
 BLOCKS = (16, 1)
 #: The low bits of an anchor hold its position, so that the least anchor also tells where it is.
 PLACE = np.uint64(511)
-#: Part number of starts whose anchor stands twice in one string: they are compared without alignment.
-LOOSE = 1 << 20
+#: Core of starts whose anchor stands twice in one string: they are compared without alignment.
+LOOSE = 0
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -133,29 +134,31 @@ def parts_of(docs: DataFrame, units: DataFrame, length: int, block: int) -> Data
                 unit, start, part = unit[fresh], start[fresh], part[fresh]
                 base = offsets[text[unit]] + start
                 span = hashes.of(base, base + count + length - 1)
+                aligned = np.where(loose[unit], base, offsets[text[unit]] + at[unit] + part * block)
+                core = hashes.of(aligned + block - 1, np.minimum(aligned + length, len(data)))
+                core = np.where(loose[unit], np.uint64(LOOSE), mixed(core ^ part.astype(np.uint64)))
                 where = pa.array(first + text[unit])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(where),
                         batch.column(1).take(where),
-                        flat.field("anchor").take(pa.array(unit)),
+                        pa.array(core.astype(np.int64)),
                         pa.array(span.astype(np.int64)),
                         pa.array(start.astype(np.int32)),
                         pa.array(count.astype(np.int32)),
                         pa.array(at[unit].astype(np.int32)),
                         pa.array(loose[unit]),
-                        pa.array(np.where(loose[unit], LOOSE, part).astype(np.int32)),
                         flat.field("open").take(pa.array(unit)),
                     ],
-                    names=["id", "print", "anchor", "span", "lo", "n", "at", "loose", "part", "open"],
+                    names=["id", "print", "core", "span", "lo", "n", "at", "loose", "open"],
                 )
 
-    unit = F.struct("anchor", "lo", "n", "at", "loose", "open")
+    unit = F.struct("lo", "n", "at", "loose", "open")
     lists = stored(units.groupBy("id", "print").agg(F.collect_list(unit).alias("units")), "repeat-units")
     found = at_texts(docs.select("id", "print", "text"), lists.withColumn("size", F.size("units")), "size", "inner")
     # A row given twice lists its units twice; they are witnesses then, never open, so the count stays right.
     return found.select("id", "print", "text", "units").mapInArrow(
-        rows, "id long, print long, anchor long, span long, lo int, n int, at int, loose boolean, part int, open boolean"
+        rows, "id long, print long, core long, span long, lo int, n int, at int, loose boolean, open boolean"
     )
 
 
@@ -163,22 +166,19 @@ def refined(units: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(repeated intervals, units to compare in smaller parts) of units with their hash."""
     place = F.struct("id", "print", "lo", "at")
     classes = stored(
-        units.groupBy("anchor", "part", "n", "span").agg(
+        units.groupBy("core", "n", "span").agg(
             F.count("*").alias("copies"), F.max("open").alias("open"), F.max("loose").alias("loose"), F.min(place).alias("place")
         ),
         "repeat-classes",
     )
-    shared = classes.where("copies > 1 AND open").select("anchor", "part", "n", "span")
-    repeated = units.where("open").join(shared, ["anchor", "part", "n", "span"]).select("id", "print", "lo", "n")
-    groups = classes.groupBy("anchor", "part").agg(
-        F.count("*").alias("classes"), F.max(F.col("open") & (F.col("copies") == 1)).alias("needs"), F.max("loose").alias("loose")
-    )
-    wanted = groups.where("needs AND (classes > 1 OR loose)").select("anchor", "part", "loose")
-    following = (
-        classes.drop("loose")
-        .join(wanted, ["anchor", "part"])
-        .select("anchor", "n", "loose", (F.col("open") & (F.col("copies") == 1)).alias("open"), "place.*")
+    shared = classes.where("copies > 1 AND open").select("core", "n", "span")
+    repeated = units.where("open").join(shared, ["core", "n", "span"]).select("id", "print", "lo", "n")
+    alone = F.col("open") & (F.col("copies") == 1)
+    groups = classes.groupBy("core").agg(
+        F.count("*").alias("classes"), F.max(alone).alias("needs"), F.max("loose").alias("loose")
     )
+    wanted = groups.where("needs AND (classes > 1 OR loose)").select("core", "loose")
+    following = classes.drop("loose").join(wanted, "core").select("n", "loose", alone.alias("open"), "place.*")
     return repeated, following
 
 
@@ -191,7 +191,7 @@ def repeated_intervals(docs: DataFrame, length: int, gram: int) -> DataFrame:
     shared = stored(anchors.where("copies > 1 OR loose").select("anchor"), "shared-anchors")
     side = F.broadcast(shared) if shared.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else shared
     units = runs.select("id", "print", F.explode("runs").alias("r")).select("id", "print", "r.*").join(side, "anchor", "left_semi")
-    units = stored(units.withColumn("part", F.lit(0)).withColumn("open", F.lit(True)), "anchor-units")
+    units = stored(units.withColumnRenamed("anchor", "core").withColumn("open", F.lit(True)), "anchor-units")
     found, following = refined(units)
     for block in BLOCKS:
         units = stored(parts_of(docs, following, length, block).where("n > 0"), "repeat-parts")
