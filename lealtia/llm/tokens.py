@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterable
 from functools import lru_cache
 
@@ -13,8 +15,7 @@ import numpy as np
 #: follows letters. Both vocabularies start a new unit at such a border, so pieces can be encoded on
 #: their own. The four separators count as ordinary characters, as in the tokenizers.
 PIECE = re.compile(
-    r"[^\S\x1c-\x1f]*[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,;:!?*&%$#()|<>\"])"
-    r"|[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+"
+    r"[^\S\x1c-\x1f]*+(?:[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[.,;:!?*&%$#()|<>\" \n]|\Z)|[\S\x1c-\x1f]++)|[^\S\x1c-\x1f]++"
 )
 #: So many pieces are remembered; then the memory starts anew. It changes no ids.
 REMEMBERED = 1_000_000
@@ -32,6 +33,30 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class Memory(dict):
+    """Ids of pieces; an unknown one is encoded when it is first asked for."""
+
+    def __init__(self, tokenizer) -> None:
+        super().__init__()
+        self.encode = tokenizer.encode
+        #: Whether the vocabulary takes ASCII pieces alike in either case and with or without blanks around.
+        self.folds = self.encode(" Ab").ids == self.encode("ab").ids
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        if self.folds and piece.isascii():
+            plain = piece.strip(" \t\n\r").lower()
+            if plain != piece:
+                found = self[piece] = self[plain]
+                return found
+        ids = array("I", self.encode(piece, add_special_tokens=False).ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        found = self[piece] = ids.tobytes()
+        return found
+
+
 class Encoder:
     """Encodes texts by a vocabulary file; the ids of a text are little-endian unsigned 32-bit numbers."""
 
@@ -40,23 +65,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         path = vocabulary if os.path.isabs(vocabulary) else vocabulary_path(vocabulary)
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.known = Memory(Tokenizer.from_file(path))
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """The ids of each text and the end id; null is empty. No text is cut."""
-        return [self.ids(text or "") + END_ID for text in texts]
-
-    def ids(self, text: str) -> bytes:
-        pieces = PIECE.findall(text)
-        new = list(set(pieces).difference(self.known))
-        if new:
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known = {}
-                new = list(set(pieces))
-            for piece, coded in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                self.known[piece] = np.array(coded.ids, "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, pieces))
+        known = self.known.__getitem__
+        return [b"".join(map(known, PIECE.findall(text or ""))) + END_ID for text in texts]
 
 
 @lru_cache(maxsize=2)
