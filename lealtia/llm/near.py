@@ -29,6 +29,11 @@ COORDINATES = 128
 MATCHES = 76
 #: Bits of each coordinate in the sketch that travels with a post.
 SKETCH_BITS = 8
+#: Minima of which one bit each is kept for the last comparison, and fewest equal bits of a link (chance below 1e-4).
+LONG_BITS = 1024
+LONG_MATCHES = 857
+#: Neighbouring coordinates that a post of the last comparison holds: a link misses all 32 of them with a chance of 5e-6.
+BAND = 4
 #: Seeds of the orders that pick the hubs of a list, per round. Lists of one group pick the same hubs.
 HUB_ROUNDS = ((1, 2, 3, 4), (5, 6, 7, 8, 9, 10))
 
@@ -132,6 +137,37 @@ def full_sets(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     )
 
 
+def long_sketches(docs: DataFrame, width: int) -> DataFrame:
+    """``doc_id`` and ``bits``: one bit of each of ``LONG_BITS`` minima, of every row that has shingles."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = Powers()
+        seeds = mixed(np.arange(1001, 1001 + LONG_BITS, dtype=np.uint64))
+        for batch in batches:
+            bits = []
+            for shingles in text_sets(batch.column(1), width, powers):
+                if len(shingles):
+                    ones = (signature(shingles, seeds) & np.uint64(1)).astype(np.uint8)
+                    bits.append(np.packbits(ones).view(np.int64))
+                else:
+                    bits.append(None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(bits, pa.list_(pa.int64()))], names=["doc_id", "bits"]
+            )
+
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return texts.mapInArrow(rows, "doc_id long, bits array<long>").where("bits IS NOT NULL")
+
+
+def band_posts(classes: DataFrame, coordinates: int) -> DataFrame:
+    """``id`` and ``token`` for every group of ``BAND`` neighbouring coordinates."""
+    groups = [
+        F.xxhash64(F.lit(first), *[F.get("tokens", F.lit(first + k)) for k in range(BAND)])
+        for first in range(0, coordinates, BAND)
+    ]
+    return classes.select(F.col("doc_id").alias("id"), F.explode(F.array(*groups)).alias("token"))
+
+
 def prefix_posts(classes: DataFrame, coordinates: int, matches: int) -> DataFrame:
     """``token``, ``id`` for the rarest tokens of each class, without those that only one class has.
 
@@ -171,6 +207,26 @@ def agreeing(
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def agreeing_closely(
+    open_posts: DataFrame, docs: DataFrame, classes: DataFrame, coordinates: int, width: int, percent: int
+) -> DataFrame:
+    """Pairs (``a``, ``b``) of classes in open lists whose components differ, of like size and with like long sketches."""
+    nodes = open_posts.select("id", "component").distinct()
+    some = docs.join(sized(nodes.select(F.col("id").alias("open_id"))), F.col("doc_id") == F.col("open_id"), "left_semi")
+    bits = stored(long_sketches(some, width), "near-long")
+    found = classes.join(nodes, F.col("doc_id") == F.col("id"))
+    traits = found.select("id", "component", "n_shingles").join(bits, F.col("id") == F.col("doc_id")).drop("doc_id")
+    posts = band_posts(found.drop("id"), coordinates).distinct().join(traits, "id")
+    one = posts.toDF("a", "token", "x", "size_a", "bits_a")
+    two = posts.toDF("b", "token", "y", "size_b", "bits_b")
+    like = (F.col("size_a") * 100 >= F.col("size_b") * percent) & (F.col("size_b") * 100 >= F.col("size_a") * percent)
+    words = range(LONG_BITS // 64)
+    unequal = sum((F.bit_count(F.get("bits_a", F.lit(w)).bitwiseXOR(F.get("bits_b", F.lit(w)))) for w in words), F.lit(0))
+    close = unequal <= LONG_BITS - LONG_MATCHES
+    met = one.join(two, (one["token"] == two["token"]) & (F.col("x") < F.col("y")) & like & close)
+    return met.select("a", "b").distinct()
+
+
 def hubs_of(placed: DataFrame, seeds: Sequence[int]) -> DataFrame:
     """``token``, hub ``a`` and its component ``x``: for each seed the first member of the list in its order."""
     member = F.struct("id", "component")
@@ -262,9 +318,7 @@ def near_duplicates(
         fresh = stored(confirmed(pairs, docs, width, percent), "near-links")
         links = fresh if links is None else links.unionByName(fresh)
         placed = open_lists(posts, components(links))
-    left = placed.select("token", F.col("id").alias("a"), F.col("component").alias("x"))
-    right = placed.select("token", F.col("id").alias("b"), F.col("component").alias("y"))
-    across = stored(agreeing(right, left, open_pair=F.col("x") < F.col("y"), **tested), "near-pairs")
+    across = stored(agreeing_closely(placed, docs, classes, coordinates, width, percent), "near-pairs")
     found = components(links.unionByName(confirmed(across, docs, width, percent)))
     by_class = labelled(classes.select(*key, F.col("doc_id").alias("least")), found, "least").select(*key, "component")
     joined = rows.drop("tokens", "sketch").join(by_class, key, "left")
