@@ -2,22 +2,23 @@
 
 Words and pairs of words are hashed into a fixed number of buckets. Two multinomials over the buckets are
 counted: one over the documents labelled good, one over all documents. The score of a document is the mean
-log-likelihood ratio of its n-grams; documents under the threshold are rejected. The bucket weights are one
-array of fixed length, read as a scalar subquery, so no text is shuffled when documents are scored.
+log-likelihood ratio of its n-grams, less what comes of how the labels are spread; documents under a threshold
+that the labels set are rejected. The bucket counts are arrays of fixed length, read as a scalar subquery.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lealtia.llm.common import bound, sized, stored
 
 BUCKETS = 1 << 16
-#: Added to every bucket's count.
+#: Added to every bucket's count; with a learned threshold the same mass is dealt out as the raw shares are.
 SMOOTHING = 1.0
-#: Lowest mean log-likelihood ratio of a kept document.
-THRESHOLD = -0.12
+#: How often the share of good documents lost counts against the share of bad ones rejected, and the steps of a threshold.
+LOSS_WEIGHT = 10
+STEPS = 1000
 WORD_BREAK = r"[ \t-\r]+"
 REPEAT_WINDOW = 5
 MIN_WORDS = 10
@@ -84,55 +85,153 @@ def gram_buckets(hashes: Column, buckets: int) -> Column:
     return F.transform(F.concat(hashes, windows_hash(hashes, 2)), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
 
 
-def bucket_weights(
-    docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING
-) -> DataFrame:
-    """One row with one array: per bucket the log of target share over raw share.
+def label_marks(labels: DataFrame) -> DataFrame:
+    """``__q_id`` and ``__q_good`` (1 or 0) of every labelled document; good if any of its labels is."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
+    return known.groupBy(F.col("doc_id").alias("__q_id")).agg(F.max("quality").cast("int").alias("__q_good"))
 
-    The target is every document with a label ``quality`` of 1, the raw corpus every document.
-    """
-    good = labels.where(F.col("quality") == 1).select(F.col("doc_id").alias("__q_good")).distinct()
-    marked = docs.select("doc_id", "text").join(sized(good), F.col("doc_id") == F.col("__q_good"), "left")
+
+def bucket_counts(docs: DataFrame, marks: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """One row: per bucket the n-grams of all documents (``raw``), labelled ones (``seen``) and good ones (``target``),
+    each an array with its sum (``raws``, ``seens``, ``targets``)."""
+    marked = docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("__q_id"), "left")
     grams = with_words(marked, "text").select(
         "__q_good", F.explode(gram_buckets(F.col("__q_hash"), buckets)).alias("bucket")
     )
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("__q_good").alias("target"))
+    names = ["raw", "seen", "target"]
+    counts = grams.groupBy("bucket").agg(
+        F.count("*").alias("raw"), F.count("__q_good").alias("seen"), F.coalesce(F.sum("__q_good"), F.lit(0)).alias("target")
+    )
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     filled = every.join(F.broadcast(counts), "bucket", "left").select(
-        F.struct("bucket", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("target", F.lit(0)).alias("target")).alias("c")
+        F.struct("bucket", *[F.coalesce(n, F.lit(0)).alias(n) for n in names]).alias("c")
     )
     sums = filled.agg(
-        F.sort_array(F.collect_list("c")).alias("counts"), F.sum("c.raw").alias("raws"), F.sum("c.target").alias("targets")
+        F.sort_array(F.collect_list("c")).alias("counts"), *[F.sum(f"c.{n}").alias(f"{n}s") for n in names]
     )
+    return sums.select(*[F.col(f"counts.{n}").alias(n) for n in names], *[f"{n}s" for n in names])
+
+
+def plain_weights(counts: DataFrame, buckets: int, smoothing: float) -> DataFrame:
+    """One array: per bucket the log of target share over raw share, both smoothed towards uniform."""
     share = lambda n, total: F.log((n + smoothing) / (total + smoothing * buckets))
-    return sums.select(
-        F.transform(
-            "counts", lambda c: share(c["target"], F.col("targets")) - share(c["raw"], F.col("raws"))
-        ).alias("weights")
+    weight = lambda t, r: share(t, F.col("targets")) - share(r, F.col("raws"))
+    return counts.select(F.zip_with("target", "raw", weight).alias("weights"))
+
+
+def shared_weights(counts: DataFrame, buckets: int, smoothing: float) -> DataFrame:
+    """``target`` and ``seen`` counts smoothed towards the raw shares, their totals, and ``weights``.
+
+    The log of target share over raw share, less that of the labelled documents' share over raw share: a
+    bucket that few labelled documents hold weighs about nothing, however common it is in the corpus.
+    """
+    mass = smoothing * buckets
+    smooth = lambda n, r: n + mass * r / F.greatest(F.col("raws"), F.lit(1))
+    shares = counts.select(
+        F.zip_with("target", "raw", smooth).alias("target"),
+        F.zip_with("seen", "raw", smooth).alias("seen"),
+        (F.col("targets") + mass).alias("targets"),
+        (F.col("seens") + mass).alias("seens"),
     )
+    # a bucket without n-grams is never read
+    weight = lambda t, s: F.when(s > 0, F.log(t / F.col("targets")) - F.log(s / F.col("seens"))).otherwise(F.lit(0.0))
+    return shares.select(F.struct("target", "seen", "targets", "seens", F.zip_with("target", "seen", weight).alias("weights")).alias("w"))
+
+
+def held_out(w: Column, grams: Column, good: Column) -> Column:
+    """Sum of the weights of a labelled document's n-grams, without its own counts: equal buckets become neighbours."""
+
+    def part(bucket: Column, n: Column) -> Column:
+        target = (F.get(w["target"], bucket) - n * good) / (w["targets"] - F.size(grams) * good)
+        seen = (F.get(w["seen"], bucket) - n) / (w["seens"] - F.size(grams))
+        return n * (F.log(target) - F.log(seen))
+
+    def step(acc: Column, g: Column) -> Column:
+        same = acc["last"] == g
+        return F.struct(
+            g.alias("last"),
+            F.when(same, acc["n"] + 1).otherwise(F.lit(1)).alias("n"),
+            F.when(same | (acc["n"] == 0), acc["sum"]).otherwise(acc["sum"] + part(acc["last"], acc["n"])).alias("sum"),
+        )
+
+    start = F.struct(F.lit(-1).alias("last"), F.lit(0).alias("n"), F.lit(0.0).alias("sum"))
+    return F.aggregate(
+        F.sort_array(grams),
+        start,
+        step,
+        lambda acc: F.when(acc["n"] > 0, acc["sum"] + part(acc["last"], acc["n"])).otherwise(F.lit(0.0)),
+    )
+
+
+def learned_threshold(judged: DataFrame) -> DataFrame:
+    """One row with the ``threshold`` that the held-out scores of the labelled documents set; null to reject none.
+
+    The share of bad documents under it, less ``LOSS_WEIGHT`` times that of good ones (with one lost document
+    more than were seen), is largest and above 0; it is midway between the steps that hold documents, and the lowest such.
+    """
+    steps = (
+        judged.where(F.col("__q_good").isNotNull() & ~F.col("base_failed"))
+        .groupBy(F.floor(F.col("score") * STEPS).alias("step"))
+        .agg(F.sum("__q_good").alias("good"), F.sum(1 - F.col("__q_good")).alias("bad"))
+    )
+    under, whole = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
+    lost = (F.coalesce(F.sum("good").over(under), F.lit(0)) + 1) / (F.sum("good").over(whole) + 1)
+    gain = F.try_divide(F.coalesce(F.sum("bad").over(under), F.lit(0)), F.sum("bad").over(whole)) - LOSS_WEIGHT * lost
+    middle = (F.lag("step").over(Window.orderBy("step")) + 1 + F.col("step")) / (2 * STEPS)
+    best = steps.select(gain.alias("gain"), (-middle).alias("at")).where("gain > 0").agg(F.max(F.struct("gain", "at")).alias("best"))
+    return best.select((-F.col("best.at")).alias("threshold"))
 
 
 def judge_documents(
-    docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS
+    docs: DataFrame,
+    labels: DataFrame,
+    threshold: float | None = None,
+    buckets: int = BUCKETS,
+    smoothing: float = SMOOTHING,
+    columns: list[str] | None = None,
 ) -> DataFrame:
-    """All columns of ``docs`` with the base measures, ``score`` and ``kept``.
+    """``columns`` of ``docs`` (all by default) with the base measures, ``score`` and ``kept``.
+
+    The labels set the threshold: a labelled document is scored without its own counts, one without a label
+    by all counts. Where the labels give no step that parts good from bad (ten good documents or fewer that
+    pass the base rules, or no bad one), the base rules alone decide. With a given ``threshold`` the score is the plain
+    ratio smoothed towards uniform, own counts included.
 
     A null or empty text has no words, fails the base rules and scores 0. A null id is judged like any
     other and never counts as labelled; repeated rows are judged row by row, and repeated labels count
-    once. Without a good label the target is uniform. Columns of ``docs`` named like a measure are
-    replaced. An empty table gives no rows.
+    once. Columns of ``docs`` named like a measure are replaced. An empty table gives no rows.
     """
     measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
-    weights = stored(bucket_weights(docs, labels, buckets), "gram-weights")
-    own = [c for c in docs.columns if c not in measures]
+    marks = sized(label_marks(labels))
+    counts = bucket_counts(docs, marks, buckets)
+    weights = (plain_weights if threshold is not None else shared_weights)(counts, buckets, smoothing)
+    given = [c for c in docs.columns if c not in measures]
+    own = given if columns is None else [c for c in columns if c in given]
     grams = gram_buckets(F.col("__q_hash"), buckets)
-    total = bound(F.col("__q_weights"), lambda w: F.aggregate(grams, F.lit(0.0), lambda a, g: a + F.get(w, g)))
+    plain = lambda w: F.aggregate(grams, F.lit(0.0), lambda a, g: a + F.get(w, g))
+    good = F.col("__q_good")
     length = F.size("__q_hash") + F.greatest(F.size("__q_hash") - 1, F.lit(0))
-    return (
-        base_rules(docs.select([F.col(f"`{c}`") for c in own]))
-        .withColumn("__q_weights", weights.scalar())
+    rows = docs.select([F.col(f"`{c}`") for c in given])
+    if threshold is not None:
+        total = bound(F.col("__q_weights"), plain)
+    else:
+        rows = rows.join(marks, F.col("doc_id") == F.col("__q_id"), "left")
+        total = bound(
+            F.col("__q_weights"),
+            lambda w: F.when(good.isNull(), plain(w["weights"])).otherwise(bound(grams, lambda g: held_out(w, g, good))),
+        )
+    judged = (
+        base_rules(rows)
+        .withColumn("__q_weights", stored(weights, "gram-weights").scalar())
         .withColumn("score", F.when(length > 0, F.round(total / length, 9)).otherwise(F.lit(0.0)))
-        .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+    )
+    if threshold is None:  # the scores are needed twice
+        judged = stored(judged.select(*[F.col(f"`{c}`") for c in own], "__q_good", *measures[:-1]), "judged")
+        limit = F.coalesce(stored(learned_threshold(judged), "threshold").scalar(), F.lit(float("-inf")))
+        passed = F.col("score") >= limit
+        return judged.select(*[F.col(f"`{c}`") for c in own], *measures[:-1], (~F.col("base_failed") & passed).alias("kept"))
+    return (
+        judged.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
         # a generator, past which no filter moves: a filter on ``kept`` would work out every measure once more
         .select(*[F.col(f"`{c}`") for c in own], F.inline(F.array(F.struct(*measures))))
     )

@@ -39,7 +39,7 @@ def op1_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_likelihood_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return judge_documents(docs, read_table(spark, sf_dir, "labels")).drop("text")
+    return judge_documents(docs, read_table(spark, sf_dir, "labels"), columns=["doc_id"])
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
