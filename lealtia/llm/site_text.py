@@ -192,25 +192,29 @@ def host_of(url: Column) -> Column:
 
 
 def page_subtrees(pages: DataFrame) -> DataFrame:
-    """``host``, ``page`` (a hash of the address and source) and the ``subtree`` hashes of every page."""
+    """``host``, ``page`` (a hash of the text before any template is deleted) and the ``subtree`` hashes of every page."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted(set(Page(source or "").subtrees().values())) for source in batch.column(2).to_pylist()]
+            pages, found = [], []
+            for source in batch.column(1).to_pylist():
+                page = Page(source or "")
+                pages.append(xxhash.xxh64_intdigest(page.main_text(frozenset())) >> 1)
+                found.append(sorted(set(page.subtrees().values())))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["host", "page", "subtrees"]
+                [batch.column(0), pa.array(pages, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
+                names=["host", "page", "subtrees"],
             )
 
-    source = F.col("html").cast("string")
     return pages.select(
-        host_of(F.col("url")).alias("host"), F.xxhash64("url", source).alias("page"), source.alias("html")
+        host_of(F.col("url")).alias("host"), F.col("html").cast("string").alias("html")
     ).mapInArrow(rows, "host string, page long, subtrees array<long>")
 
 
 def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_percent: int = MIN_PERCENT) -> DataFrame:
     """``host`` and ``subtree`` of what stands on many of a host's pages.
 
-    A page given twice counts once. At most 100 / ``min_percent`` times the subtrees of an average page
+    Pages with the same text count once, whatever their addresses, menus in marked elements or scripts. At most 100 / ``min_percent`` times the subtrees of an average page
     can be template on one host.
     """
     found = stored(page_subtrees(pages), "page-subtrees")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from lealtia.llm import quality
+from lealtia.llm import quality, site_text
 
 
 def corpus():
@@ -45,3 +45,19 @@ def test_a_labelled_document_is_scored_without_its_own_counts(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     score = lambda picked: quality.judge_documents(docs, frame(picked)).where("doc_id = 8").first()["score"]
     assert abs(score(marks) - score([m for m in marks if m[0] != 8])) < 1e-8
+
+
+def texts(spark, pages, **options):
+    frame = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in site_text.extract_main_text(frame, **options).collect()}
+
+
+def test_copies_of_one_page_are_no_template(spark):
+    ends = ["", "?page=2", "#top"]
+    pages = [(f"http://a.example/s{e}", "<article><h1>T</h1><div><p>A</p></div></article>") for e in ends]
+    pages += [(f"http://b.example/s{e}", "<body><h1>T</h1><p>A</p></body>") for e in ends]
+    pages += [(f"http://c.example/s{e}", f"<nav>Here {e}</nav><body><p>A</p><p>B</p></body>") for e in ends]
+    menu = "<div>Home News</div>"
+    pages += [(f"http://a.example/{i}", f"<body>{menu}<p>Story {i}</p></body>") for i in range(3)]
+    expected = ["T\n\nA"] * 6 + ["A\n\nB"] * 3 + [f"Story {i}" for i in range(3)]
+    assert texts(spark, pages) == dict(enumerate(expected))
