@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 
 from lealtia.llm.common import SMALL_ROWS, stored
 
-#: A subtree is template if it is on at least so many pages and on so many of a hundred pages of its host.
+#: A subtree is template if it is on at least so many pages of its host, however large the host is.
 MIN_PAGES = 3
-MIN_PERCENT = 1
+#: Templates travel as one list per host up to so many on a host; beyond, every page gets those that it holds.
+LIST_ROWS = 1_000
 
 # Names of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -192,7 +193,7 @@ def host_of(url: Column) -> Column:
 
 
 def page_subtrees(pages: DataFrame) -> DataFrame:
-    """``host``, ``page`` (a hash of the text before any template is deleted) and the ``subtree`` hashes of every page."""
+    """``host``, ``page`` (a hash of the text before any template is deleted), ``source`` (of the html) and the ``subtree`` hashes of every page."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,53 +203,59 @@ def page_subtrees(pages: DataFrame) -> DataFrame:
                 pages.append(xxhash.xxh64_intdigest(page.main_text(frozenset())) >> 1)
                 found.append(sorted(set(page.subtrees().values())))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(pages, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
-                names=["host", "page", "subtrees"],
+                [batch.column(0), pa.array(pages, pa.int64()), batch.column(2), pa.array(found, pa.list_(pa.int64()))],
+                names=["host", "page", "source", "subtrees"],
             )
 
+    source = F.col("html").cast("string")
     return pages.select(
-        host_of(F.col("url")).alias("host"), F.col("html").cast("string").alias("html")
-    ).mapInArrow(rows, "host string, page long, subtrees array<long>")
+        host_of(F.col("url")).alias("host"), source.alias("html"), F.xxhash64(source).alias("source")
+    ).mapInArrow(rows, "host string, page long, source long, subtrees array<long>")
 
 
-def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_percent: int = MIN_PERCENT) -> DataFrame:
-    """``host`` and ``subtree`` of what stands on many of a host's pages.
+def site_templates(found: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """``host`` and ``subtree`` of what stands on many of a host's pages, from its ``page_subtrees``.
 
-    Pages with the same text count once, whatever their addresses, menus in marked elements or scripts. At most 100 / ``min_percent`` times the subtrees of an average page
-    can be template on one host.
+    Pages with the same text count once, whatever their addresses, menus in marked elements or scripts.
     """
-    found = stored(page_subtrees(pages), "page-subtrees")
-    totals = found.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    counts = (
+    return (
         found.select("host", "page", F.explode("subtrees").alias("subtree"))
         .distinct()
         .groupBy("host", "subtree")
         .agg(F.count("*").alias("n"))
         .where(F.col("n") >= min_pages)
+        .select("host", "subtree")
     )
-    return counts.join(totals, "host").where(F.col("n") * 100 >= F.col("pages") * min_percent).select("host", "subtree")
 
 
-def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_percent: int = MIN_PERCENT) -> DataFrame:
+def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES, list_rows: int = LIST_ROWS) -> DataFrame:
     """``page_id``, ``url`` and the main ``text`` of every page.
 
     A null or empty source, or a page of template alone, gives an empty text. Pages without an address
     share one nameless host; repeated rows each give a row; extra columns are left out. An empty table
     gives no rows. Texts are never cut; an element that holds an article or a main heading is no template.
     """
-    templates = stored(site_templates(pages, min_pages, min_percent), "site-templates")
-    by_host = templates.groupBy("host").agg(F.sort_array(F.collect_list("subtree")).alias("template"))
-    if templates.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
-        by_host = F.broadcast(by_host)
+    found = stored(page_subtrees(pages), "page-subtrees")
+    templates = stored(site_templates(found, min_pages), "site-templates")
+    few = templates.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
+    if few and not templates.groupBy("host").count().where(F.col("count") > list_rows).limit(1).count():
+        keys = ["host"]
+        held = F.broadcast(templates.groupBy("host").agg(F.sort_array(F.collect_list("subtree")).alias("template")))
+    else:
+        keys = ["host", "source"]
+        single = found.select("host", "source", F.explode("subtrees").alias("subtree")).distinct()
+        held = (
+            single.join(F.broadcast(templates) if few else templates, ["host", "subtree"])
+            .groupBy(keys)
+            .agg(F.sort_array(F.collect_list("subtree")).alias("template"))
+        )
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, frozenset[int]] = {}
         for batch in batches:
-            texts = []
-            for host, template, source in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
-                if host not in known:
-                    known[host] = frozenset(template or ())
-                texts.append(Page(source or "").main_text(known[host]))
+            texts = [
+                Page(source or "").main_text(frozenset(template or ()))
+                for template, source in zip(*(batch.column(i).to_pylist() for i in (2, 3)))
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
             )
@@ -257,10 +264,11 @@ def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_percent:
         F.col("page_id").cast("long"),
         F.col("url").cast("string"),
         host_of(F.col("url")).alias("host"),
+        F.xxhash64(F.col("html").cast("string")).alias("source"),
         F.col("html").cast("string").alias("html"),
     )
     return (
-        named.join(by_host, "host", "left")
-        .select("page_id", "url", "host", "template", "html")
+        named.join(held, keys, "left")
+        .select("page_id", "url", "template", "html")
         .mapInArrow(rows, "page_id long, url string, text string")
     )

@@ -61,3 +61,12 @@ def test_copies_of_one_page_are_no_template(spark):
     pages += [(f"http://a.example/{i}", f"<body>{menu}<p>Story {i}</p></body>") for i in range(3)]
     expected = ["T\n\nA"] * 6 + ["A\n\nB"] * 3 + [f"Story {i}" for i in range(3)]
     assert texts(spark, pages) == dict(enumerate(expected))
+
+
+def test_templates_do_not_depend_on_the_size_of_the_host(spark):
+    menu = "<div>Home News</div>"
+    pages = [(f"http://a.example/{i}", f"<body>{menu if i < 3 else ''}<p>Story {i}</p></body>") for i in range(400)]
+    pages += [(None, None), ("http://b.example/", f"<body>{menu}<p>Own</p></body>")]
+    expected = dict(enumerate([f"Story {i}" for i in range(400)] + ["", "Home News\n\nOwn"]))
+    assert texts(spark, pages) == expected
+    assert texts(spark, pages, list_rows=0) == expected
