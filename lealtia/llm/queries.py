@@ -13,10 +13,13 @@ from lealtia.llm.differencing import balanced_shards
 from lealtia.llm.fm_index import find_passages
 from lealtia.llm.lines import drop_shared_lines
 from lealtia.llm.near import near_duplicates
+from lealtia.llm.neighbours import nearest_neighbours
 from lealtia.llm.packing import pack
 from lealtia.llm.pii import KINDS, personal_spans
 from lealtia.llm.planes import read_ids, write_ids
+from lealtia.llm.prefix_tree import prefix_tree
 from lealtia.llm.quality import judge_documents
+from lealtia.llm.repair import repair_conversations
 from lealtia.llm.repeats import without_repeats
 from lealtia.llm.site_text import extract_main_text
 from lealtia.session import fresh_path
@@ -100,6 +103,18 @@ def op10_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op11_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op12_iterative_deepening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_depth_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_tree(read_table(spark, sf_dir, "conversations"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_weak_supervision": op1_weak_supervision,
     "op2_likelihood_ratio": op2_likelihood_ratio,
@@ -111,5 +126,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fm_index": op8_fm_index,
     "op9_coordinate_join": op9_coordinate_join,
     "op10_site_templates": op10_site_templates,
+    "op11_multiprobe": op11_multiprobe,
+    "op12_iterative_deepening": op12_iterative_deepening,
+    "op13_depth_bands": op13_depth_bands,
     "pipeline": corpus_pipeline.run,
 }
