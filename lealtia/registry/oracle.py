@@ -467,9 +467,9 @@ LONG = "cells AS MATERIALIZED (" + " UNION ALL ".join(
 PAIRS = """pairs AS MATERIALIZED (SELECT a.pos AS p1, b.pos AS p2, a.feature AS feature_1, b.feature AS feature_2,
     CASE WHEN min(a.value) < max(a.value) AND min(b.value) < max(b.value) THEN corr(a.value, b.value) END AS correlation
     FROM cells a JOIN cells b USING (line) GROUP BY ALL)"""
-STRONG = "strong AS (SELECT * FROM pairs WHERE p1 < p2 AND abs(correlation) >= 0.9)"
-KEPT = """kept AS (SELECT customer, pos, feature, value FROM cells
-    WHERE feature NOT IN (SELECT feature_2 FROM strong))"""
+STRONG = "strong AS MATERIALIZED (SELECT * FROM pairs WHERE p1 < p2 AND abs(correlation) >= 0.9)"
+KEPT = """kept AS MATERIALIZED (SELECT customer, pos, c.feature, value FROM cells c
+    LEFT JOIN (SELECT DISTINCT feature_2 AS feature FROM strong) gone ON c.feature = gone.feature WHERE gone.feature IS NULL)"""
 FEATURES = [ACTIVE, FULL, NUMBERED, LONG, PAIRS, STRONG, KEPT]
 statement(
     "stat_correlation", f"SELECT feature_1, feature_2, {rounded('correlation')} AS correlation FROM pairs", *FEATURES
@@ -543,6 +543,13 @@ statement(
     POINTS,
     SQUARED,
 )
+# With no more than 256 vectors to a label there is a summary for each, and no error.
+statement("clu_silhouette_bounds", f"SELECT 'cluster' AS labelling, value, 0.0::DOUBLE AS error FROM ({SILHOUETTE})", POINTS)
+statement(
+    "clu_summary_totals",
+    f"""SELECT CAST(cluster AS BIGINT) AS label, size AS points, {rounded('within_sum')} AS squared, true AS within_limit FROM spread""",
+    POINTS,
+)
 statement("clu_silhouette", f"SELECT 'cluster' AS labelling, value FROM ({SILHOUETTE})", POINTS)
 statement(
     "clu_metrics",

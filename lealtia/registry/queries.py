@@ -29,6 +29,7 @@ from lealtia.operators import features as fe
 from lealtia.operators import regressors as rg
 from lealtia.operators import reports as rp
 from lealtia.operators import split as sp
+from lealtia.operators import summaries as su
 from lealtia.operators.anchor import ID, last_transaction, with_anchor
 from lealtia.operators.scaling import robust_scaled
 from lealtia.plans import customer_features as cf
@@ -37,7 +38,7 @@ from lealtia.plans import sql_reports as sr
 from lealtia.plans import training as tr
 from lealtia.plans.scoring import score_csv
 from lealtia.session import fresh_path, staged
-from lealtia.sinks.writers import save_model, write_csv
+from lealtia.sinks.writers import load_model, save_model, write_csv
 from lealtia.sources.readers import customers as typed_customers
 from lealtia.sources.readers import transactions as typed_transactions
 from lealtia.sources.retail import raw_customers, raw_transacciones, scan, stored_transactions
@@ -416,6 +417,39 @@ def clu_ward(spark, sf_dir):
     return cl.merged(segment_points(spark, sf_dir)).select(ID, "cluster")
 
 
+@query
+def clu_cf_tree(spark, sf_dir):
+    return cl.cf_tree(segment_points(spark, sf_dir)).select(ID, "micro", "threshold", "cluster")
+
+
+@query
+def clu_silhouette_bounds(spark, sf_dir):
+    return su.silhouette_bounds(labelled_embeddings(spark, sf_dir), ["cluster"])
+
+
+@query
+def clu_summary_totals(spark, sf_dir):
+    """What the summaries of the labelled vectors add up to, per label."""
+    entries = su.summarise(labelled_embeddings(spark, sf_dir), su.THRESHOLD, label="cluster")
+    size = F.col("size")
+    means = entries.select("label", "size", "threshold", "spread", F.posexplode("centre").alias("dim", "x"))
+    widths = means.groupBy("label", "dim").agg(F.sum("size").alias("n"), F.try_divide(F.sum(size * F.col("x")), F.sum("size")).alias("mean"))
+    apart = means.join(widths, ["label", "dim"]).groupBy("label").agg(F.sum(size * (F.col("x") - F.col("mean")) ** 2).alias("between"))
+    totals = entries.groupBy("label").agg(
+        F.sum("size").cast("long").alias("points"), F.sum("spread").alias("within"),
+        F.bool_and(F.sqrt(F.col("spread") / size) <= F.col("threshold")).alias("within_limit"),
+    )
+    return totals.join(apart, "label").select("label", "points", (F.col("within") + F.col("between")).alias("squared"), "within_limit")
+
+
+@query
+def clu_stored_model(spark, sf_dir):
+    features = staged(clustering_set(spark, sf_dir), "clustering-set")
+    path = fresh_path(spark, "segment-model")
+    save_model(sg.fit_segment_model(features), path)
+    return sg.score_segments(load_model(path), features)
+
+
 @query
 def clu_pca(spark, sf_dir):
     return cl.principal_components(segment_points(spark, sf_dir))
