@@ -24,7 +24,7 @@ TABLES = 2
 #: Width of a step. Projections of unit vectors have a standard deviation of 1.
 WIDTH = 2.0
 #: Functions of a table are added until a vector shares its bucket with about so many others.
-BUCKET_ROWS = 512
+BUCKET_ROWS = 2_048
 #: Vectors and queries of the sample that hashing is fitted on, and the recall that its queries have to reach.
 SAMPLE_ROWS = 1_024
 SAMPLE_QUERIES = 64

@@ -219,12 +219,12 @@ def plain_neighbours(rows, k, modulus):
 def vector_rows():
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(20, 12))
-    rows = [(i, (centres[i % 20] + 0.3 * rng.normal(size=12)).tolist()) for i in range(1_600)]
-    rows += [(2_000 + i, rows[40][1]) for i in range(60)]  # more copies than are asked for
-    rows += [(3_000 + i, (rng.normal(size=12) * 10.0 ** rng.integers(-3, 4)).tolist()) for i in range(60)]
-    rows += [(4_000 + i, rng.normal(size=5).tolist()) for i in range(7)]
+    rows = [(i, (centres[i % 20] + 0.3 * rng.normal(size=12)).tolist()) for i in range(4_800)]
+    rows += [(6_000 + i, rows[40][1]) for i in range(60)]  # more copies than are asked for
+    rows += [(7_000 + i, (rng.normal(size=12) * 10.0 ** rng.integers(-3, 4)).tolist()) for i in range(60)]
+    rows += [(8_000 + i, rng.normal(size=5).tolist()) for i in range(7)]
     odd = [None, [], [0.0] * 12, [float("nan")] * 12, [float("inf")] + [1.0] * 11, [None] + [1.0] * 11]
-    rows += [(5_000 + 20 * i, v) for i, v in enumerate(odd)] + [(None, rows[0][1])]
+    rows += [(9_000 + 20 * i, v) for i, v in enumerate(odd)] + [(None, rows[0][1])]
     return rows + rows[:40] + [(20, rows[3][1])]
 
 
