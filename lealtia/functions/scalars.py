@@ -27,6 +27,8 @@ CATEGORY_NAMES = {
     "SALUD Y BELLEZA": "SALUD_BELLEZA",
 }
 DAYS_PER_YEAR = 365
+#: Doubles from here on have no decimals.
+WHOLE_FROM = 2.0**53
 
 
 def as_column(value: Column | str) -> Column:
@@ -44,14 +46,38 @@ def parse_number(value: Column | str) -> Column:
 
 
 def round_even(value: Column | str, digits: int = 2) -> Column:
-    """Round half to even at ``digits`` decimals; never returns negative zero."""
+    """Round half to even at ``digits`` decimals; never returns negative zero.
+
+    A number too large to have decimals stays as it is.
+    """
     scale = float(10**digits)
-    return F.rint(as_column(value) * scale) / scale + 0.0
+    value = as_column(value).cast("double")
+    return F.when(F.abs(value) < WHOLE_FROM, F.rint(value * scale) / scale).otherwise(value) + 0.0
+
+
+def decimal_part(value: Column) -> Column:
+    """A double as a decimal with 12 digits; null for NaN, infinities and what is too large."""
+    return value.cast("double").try_cast("decimal(38,12)")
+
+
+def odd_part(value: Column) -> Column:
+    """What :func:`decimal_part` cannot hold; null for all other values."""
+    value = value.cast("double")
+    return F.when(decimal_part(value).isNull(), value)
+
+
+def whole_sum(decimals: Column, odd: Column) -> Column:
+    """A double from the sum of the decimal parts and the sum of the others, null where both are."""
+    return F.when(odd.isNull(), decimals.cast("double")).otherwise(odd + F.coalesce(decimals.cast("double"), F.lit(0.0)))
 
 
 def exact_sum(value: Column) -> Column:
-    """Sum of doubles as decimals with 12 digits, which no order of addition changes; as a double."""
-    return F.sum(value.cast("double").try_cast("decimal(38,12)")).cast("double")
+    """Sum of doubles; null without values.
+
+    Values are added as decimals with 12 digits, which no order of addition changes. NaN, infinities and values from
+    1e26 on do not fit and are added as doubles, so a NaN makes the sum NaN and a huge value counts in full.
+    """
+    return whole_sum(F.sum(decimal_part(value)), F.sum(odd_part(value)))
 
 
 def steady(value: Column | str) -> Column:

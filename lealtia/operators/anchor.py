@@ -36,15 +36,18 @@ def in_window(start: int, end: int | None, date: str = "fecha") -> Column:
     return after_start if end is None else after_start & (F.col(date) < F.col(edge(end)))
 
 
-def with_anchor(tx: DataFrame, months: Iterable[int] = (), busy_rows: int = BUSY_ROWS) -> DataFrame:
+def with_anchor(tx: DataFrame, months: Iterable[int] = (), busy_rows: int | None = BUSY_ROWS) -> DataFrame:
     """Transactions with the latest date of their customer and its window edges.
 
     The edges are computed once per customer, before the join. The rows of very busy customers stay
-    where they were read and meet their date by broadcast, so that no task gets all of them.
+    where they were read and meet their date by broadcast, so that no task gets all of them. With ``busy_rows=None``
+    there is one plain join, which a table bucketed by customer needs no shuffle for.
     """
     known = tx.where(F.col(ID).isNotNull())
     counted = known.groupBy(ID).agg(F.max("fecha").alias(LAST_DATE), F.count(F.lit(1)).alias("_rows"))
     edges = [months_before(LAST_DATE, m).alias(edge(m)) for m in sorted(set(months) - {0})]
+    if busy_rows is None:
+        return known.join(counted.select(ID, LAST_DATE, *edges), ID)
     # Both uses read the same two aggregates, so Spark computes them once and reuses the exchange.
     busy = counted.where(F.col("_rows") >= busy_rows).select(ID, LAST_DATE, *edges)
     anchors = counted.where(F.col("_rows") > 0).select(ID, LAST_DATE, *edges)

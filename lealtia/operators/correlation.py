@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -16,6 +17,8 @@ from lealtia.sources.schemas import numeric_columns
 REDUNDANT_AT = 0.90
 # Relative variance below which a column counts as constant.
 FLAT = 1e-13
+#: Columns in a block; six arrays of its square are held by a task.
+BLOCK_COLUMNS = 512
 MOMENTS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
 
 
@@ -47,10 +50,59 @@ def pair_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return partial.groupBy("p1", "p2").agg(*[F.sum(m).alias(m) for m in MOMENTS])
 
 
-def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def block_moments(df: DataFrame, columns: Sequence[str], width: int) -> DataFrame:
+    """The moments of :func:`pair_moments`, one pair of column blocks after the other.
+
+    A pass reads the columns of two blocks and holds their cross products only: memory in a task and the rows that are
+    shuffled are bounded by the square of ``width``, however many columns there are. ``df`` should be a stored table,
+    which is read once per block for every block.
+    """
+    columns = list(columns)
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    centres: list[float] = []
+    for start in range(0, len(columns), width):
+        row = numbers.agg(*[F.avg(c).alias(c) for c in columns[start : start + width]]).first()
+        centres += [v if v is not None else 0.0 for v in row]
+    parts = []
+    for a in range(0, len(columns), width):
+        for b in range(a, len(columns), width):
+            ends = min(a + width, len(columns)), min(b + width, len(columns))
+            parts.append(cross_moments(numbers, columns, np.array(centres), (a, ends[0]), (b, ends[1])))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def cross_moments(
+    numbers: DataFrame, columns: list[str], centres: np.ndarray, left: tuple[int, int], right: tuple[int, int]
+) -> DataFrame:
+    """Moments of each pair of a column of ``left`` and one of ``right`` (first, end); each pair once."""
+    same = left == right
+    wanted = columns[slice(*left)] + ([] if same else columns[slice(*right)])
+    shift = np.concatenate([centres[slice(*left)], [] if same else centres[slice(*right)]])
+    m, n = left[1] - left[0], right[1] - right[0]
+    first, second = np.triu_indices(m) if same else (g.ravel() for g in np.mgrid[:m, :n])
+
+    def reduce_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc = np.zeros((len(MOMENTS), m, n))
+        for batch in batches:
+            both = batch.to_numpy(dtype="float64", na_value=np.nan) - shift
+            x, y = both[:, :m], both if same else both[:, m:]
+            in_x, in_y = (~np.isnan(v) for v in (x, y))
+            in_x, in_y = in_x.astype("float64"), in_y.astype("float64")
+            x, y = np.nan_to_num(x, nan=0.0), np.nan_to_num(y, nan=0.0)
+            acc += np.stack([in_x.T @ in_y, x.T @ in_y, in_x.T @ y, (x * x).T @ in_y, in_x.T @ (y * y), x.T @ y])
+        values = {name: acc[k][first, second] for k, name in enumerate(MOMENTS)}
+        places = {"p1": (first + left[0]).astype("int32"), "p2": (second + right[0]).astype("int32")}
+        yield pd.DataFrame({**places, **values})
+
+    schema = "p1 int, p2 int, " + ", ".join(f"{name} double" for name in MOMENTS)
+    partial = numbers.select(*wanted).mapInPandas(reduce_task, schema)
+    return partial.groupBy("p1", "p2").agg(*[F.sum(name).alias(name) for name in MOMENTS])
+
+
+def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None, width: int = BLOCK_COLUMNS) -> DataFrame:
     """Pearson correlation per pair, each pair once: ``p1 < p2`` are column positions.
 
-    Null where a column does not vary.
+    Null where a column does not vary. Up to ``width`` columns take one pass; more go block by block.
     """
     columns = list(columns or numeric_columns(df))
     names = F.array(*[F.lit(c) for c in columns])
@@ -58,7 +110,8 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     vx, vy = n * sxx - sx * sx, n * syy - sy * sy
     varies = (vx > FLAT * n * sxx) & (vy > FLAT * n * syy)
     value = F.when(varies, (n * sxy - sx * sy) / F.sqrt(vx) / F.sqrt(vy))
-    return pair_moments(df, columns).select(
+    moments = pair_moments(df, columns) if len(columns) <= width else block_moments(df, columns, width)
+    return moments.select(
         "p1",
         "p2",
         F.element_at(names, F.col("p1") + 1).alias("feature_1"),
@@ -69,7 +122,10 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> Da
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """The full matrix in long form, both halves and the diagonal."""
-    pairs = correlation_pairs(df, columns)
+    return both_halves(correlation_pairs(df, columns))
+
+
+def both_halves(pairs: DataFrame) -> DataFrame:
     both = F.array(
         F.struct("p1", "p2", "feature_1", "feature_2"),
         F.struct(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lealtia.functions.scalars import INTENSITY_CLASSES, LOCAL_THRESHOLDS, age_in_years, intensity_class, round_even
 from lealtia.operators import features as fe
-from lealtia.operators.anchor import ID, LAST_DATE, with_anchor
+from lealtia.operators.anchor import BUSY_ROWS, ID, LAST_DATE, with_anchor
 from lealtia.sources.schemas import numeric_columns, require_columns
 
 # The columns of the selected supervised set, in order.
@@ -82,11 +82,13 @@ def customer_features(
     categories: Sequence[str] | None = None,
     as_of: datetime | None = None,
     thresholds: Sequence[int] | None = None,
+    busy_rows: int | None = BUSY_ROWS,
 ) -> DataFrame:
     """Full feature table: one row per customer, inactive ones with zeros, rounded to 2 decimals.
 
     ``categories`` fixes the category columns; without it they are looked up first. With ``thresholds``
-    the label comes along, from the same pass; it is null for inactive customers.
+    the label comes along, from the same pass; it is null for inactive customers. ``busy_rows=None`` joins the latest
+    dates without looking for busy customers, which keeps the layout of tables that are bucketed by customer.
     """
     tx = fe.recode_category(tx)
     categories = sorted(categories) if categories is not None else fe.category_values(tx)
@@ -95,13 +97,24 @@ def customer_features(
         months |= {fe.TARGET_MONTHS}
     spend_columns = [*categories, *([] if fe.TECH in categories else [fe.TECH])]
     active = fe.per_customer(
-        with_anchor(tx, months),
+        with_anchor(tx, months, busy_rows),
         fe.profile_block(),
         fe.window_block(fe.FULL_WINDOWS),
         fe.category_block(spend_columns),
         fe.tech_mean_block(fe.TECH_WINDOWS),
         [] if thresholds is None else fe.target_block(),
     )
+    return assembled(active, customers, categories, as_of, thresholds)
+
+
+def assembled(
+    active: DataFrame,
+    customers: DataFrame,
+    categories: Sequence[str],
+    as_of: datetime | None = None,
+    thresholds: Sequence[int] | None = None,
+) -> DataFrame:
+    """The full feature table from the aggregates of the active customers."""
     label = F.when(F.col("num_tx_target").isNotNull(), intensity_class("num_tx_target", thresholds)) if thresholds else None
     logs = fe.log_columns(
         {

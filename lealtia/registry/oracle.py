@@ -367,6 +367,30 @@ NUMERIC = [
     if c not in ("ciudad", "genero") and "strftime" not in c
 ]
 statement("feat_customer", "SELECT * FROM features", ACTIVE, FULL)
+statement("feat_customer_incremental", "SELECT * FROM features", ACTIVE, FULL)
+statement("feat_customer_bucketed", "SELECT * FROM features", ACTIVE, FULL)
+statement(
+    "rep_active_customers_sketch",
+    """SELECT ciudad, count(DISTINCT id_cliente) AS clientes_activos, true AS within_2_percent
+    FROM tx JOIN cust USING (id_cliente) GROUP BY ciudad""",
+)
+LOADED = """good AS (SELECT * FROM raw_customers WHERE TRY_CAST(fecha_nacimiento AS TIMESTAMP) IS NOT NULL),
+bad AS (SELECT * FROM raw_customers WHERE TRY_CAST(fecha_nacimiento AS TIMESTAMP) IS NULL)"""
+statement(
+    "load_accounted",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count({c}) AS non_null, count(*) AS rows FROM good"
+        for c in ("id_cliente", "ciudad", "genero", "estrato_social", "saldo_puntos", "fecha_nacimiento")
+    )
+    + " UNION ALL SELECT 'fecha_nacimiento: ' || fecha_nacimiento, (SELECT count(*) FROM bad), count(*) FROM bad GROUP BY 1",
+    LOADED,
+)
+statement(
+    "eda_quantile_sketches",
+    """SELECT feature, probability, n, true AS within_error FROM (
+    SELECT 'valor_transaccion' AS feature, count(valor_transaccion) AS n FROM tx UNION ALL
+    SELECT 'puntos', count(puntos) FROM tx), (SELECT unnest([0.25::DOUBLE, 0.5::DOUBLE, 0.75::DOUBLE]) AS probability)""",
+)
 
 SLIM = f"""slim AS (SELECT id_cliente, last_date, count(id_transaccion) AS num_tx_total,
     {total('valor_transaccion')} AS total_gasto, {block('3m', window(6, 3))}, {block('6m', window(9, 3))},
@@ -474,6 +498,9 @@ FEATURES = [ACTIVE, FULL, NUMBERED, LONG, PAIRS, STRONG, KEPT]
 statement(
     "stat_correlation", f"SELECT feature_1, feature_2, {rounded('correlation')} AS correlation FROM pairs", *FEATURES
 )
+statement(
+    "stat_correlation_blocks", f"SELECT feature_1, feature_2, {rounded('correlation')} AS correlation FROM pairs", *FEATURES
+)
 statement(
     "stat_high_pairs",
     f"SELECT feature_1, feature_2, {rounded('abs(correlation)')} AS correlation FROM strong",

@@ -17,6 +17,7 @@ from lealtia.functions.scalars import (
     class_code,
     intensity_class,
     log10_plus_one,
+    month_key,
     round_even,
     score_class,
 )
@@ -28,19 +29,24 @@ from lealtia.operators import explore as ex
 from lealtia.operators import features as fe
 from lealtia.operators import regressors as rg
 from lealtia.operators import reports as rp
+from lealtia.operators import sketches as sk
 from lealtia.operators import split as sp
 from lealtia.operators import summaries as su
 from lealtia.operators.anchor import ID, last_transaction, with_anchor
 from lealtia.operators.scaling import robust_scaled
 from lealtia.plans import customer_features as cf
+from lealtia.plans import incremental as inc
 from lealtia.plans import segmentation as sg
 from lealtia.plans import sql_reports as sr
 from lealtia.plans import training as tr
 from lealtia.plans.scoring import score_csv
 from lealtia.session import fresh_path, staged
-from lealtia.sinks.writers import load_model, save_model, write_csv
+from lealtia.sinks.writers import create_bucketed, load_model, save_model, write_csv
+from lealtia.sources.loading import load_csv
 from lealtia.sources.readers import customers as typed_customers
+from lealtia.sources.readers import dated
 from lealtia.sources.readers import transactions as typed_transactions
+from lealtia.sources.schemas import CUSTOMERS
 from lealtia.sources.retail import raw_customers, raw_transacciones, scan, stored_transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +56,11 @@ AS_OF_TX = datetime(2001, 6, 30)
 AS_OF_MONTHS = 12
 CATEGORIES = ["COMIDA", "DEPORTE", "HOGAR", "LICORES", "SALUD_BELLEZA", "TECNOLOGIA"]
 REPORT_CATEGORY = "SALUD Y BELLEZA"
+# Years in which the two increments of the states begin, and buckets of the catalog tables.
+INCREMENTS = (1997, 1998)
+BUCKETS = 8
+# Columns in a block of the correlation that shows the blocked way on a table of some dozens.
+NARROW_BLOCK = 16
 
 QUERIES: dict[str, Query] = {}
 
@@ -138,6 +149,17 @@ def sql_report(name: str) -> Callable[[SparkSession, str], DataFrame]:
 QUERIES.update({f"sql_{name}": sql_report(name) for name in sr.REPORTS})
 
 
+@query
+def rep_active_customers_sketch(spark, sf_dir):
+    """Customers with transactions per city, counted exactly and from one stored sketch per city and month."""
+    active = transactions(spark, sf_dir).join(customers(spark, sf_dir).select(ID, "ciudad"), ID)
+    cells = sk.distinct_sketches(active.withColumn("mes", month_key("fecha")), ["ciudad", "mes"], ID)
+    estimated = sk.distinct_counts(staged(cells, "distinct-sketches"), ["ciudad"], "estimated")
+    exact = active.groupBy("ciudad").agg(F.count_distinct(ID).alias("clientes_activos"))
+    near = F.abs(F.col("estimated") - F.col("clientes_activos")) <= 0.02 * F.col("clientes_activos")
+    return exact.join(estimated, "ciudad").select("ciudad", "clientes_activos", near.alias("within_2_percent"))
+
+
 # Exploration
 
 
@@ -197,6 +219,41 @@ def eda_spend_log_hist(spark, sf_dir):
     return ex.histogram(spend, log10_plus_one("total_gastado"), 30)
 
 
+@query
+def load_accounted(spark, sf_dir):
+    """Customers through a CSV in which every 50th birth date does not parse: rows accepted and rejected per column."""
+    source, destination = fresh_path(spark, "people-csv"), fresh_path(spark, "people")
+    write_csv(raw_customers(spark, sf_dir), source)
+    loaded = load_csv(spark, source, dated(CUSTOMERS, "fecha_nacimiento"), destination, [ID])
+    refused = loaded.rejected.select(F.explode("reasons").alias("reason")).groupBy("reason").count()
+    return loaded.profile.select("column", "non_null", F.col("rows")).unionByName(
+        refused.select(F.col("reason").alias("column"), F.lit(loaded.rejected_rows).cast("long").alias("non_null"), F.col("count").alias("rows"))
+    )
+
+
+@query
+def eda_quantile_sketches(spark, sf_dir):
+    """Quartiles of amounts and points from one stored sketch per month, and whether their ranks are as near as stated."""
+    tx = transactions(spark, sf_dir).withColumn("mes", month_key("fecha"))
+    names = ["valor_transaccion", "puntos"]
+    cells = staged(sk.quantile_sketches(tx, ["mes"], names), "quantile-sketches")
+    found = sk.quantiles(sk.merged_quantiles(cells), sk.QUARTILES).collect()  # three rows per column
+    ranks = [
+        F.struct(
+            F.lit(r["feature"]).alias("feature"),
+            F.lit(r["probability"]).alias("probability"),
+            F.count(r["feature"]).alias("n"),
+            F.count_if(F.col(r["feature"]) < r["value"]).alias("below"),
+            F.count_if(F.col(r["feature"]) <= r["value"]).alias("upto"),
+        )
+        for r in found
+    ]
+    counted = tx.agg(F.array(*ranks).alias("ranks")).select(F.inline("ranks"))
+    slack, wanted = sk.rank_error() * F.col("n"), F.col("probability") * F.col("n")
+    near = (F.col("below") <= wanted + slack) & (F.col("upto") >= wanted - slack)
+    return counted.select("feature", "probability", "n", near.alias("within_error"))
+
+
 # Feature blocks
 
 
@@ -286,6 +343,31 @@ def feat_customer(spark, sf_dir):
     return full_features(spark, sf_dir)
 
 
+@query
+def feat_customer_incremental(spark, sf_dir):
+    """The feature table after a first load and two increments, from stored states."""
+    tx, path = transactions(spark, sf_dir), fresh_path(spark, "states")
+    year = F.coalesce(F.year("fecha"), F.lit(0))
+    ends = [*INCREMENTS, 9_999]
+    for since, until in zip([0, *INCREMENTS], ends):
+        inc.add_batch(tx.where((year >= since) & (year < until)), path, f"from-{since}")
+    compacted = fresh_path(spark, "states")
+    inc.compact(spark, path, compacted)
+    return inc.features_of_states(spark, compacted, customers(spark, sf_dir), CATEGORIES)
+
+
+@query
+def feat_customer_bucketed(spark, sf_dir):
+    """The feature table from catalog tables that are bucketed by customer."""
+    tables = []
+    for kind, table in (("tx", transactions(spark, sf_dir)), ("people", customers(spark, sf_dir))):
+        path = fresh_path(spark, f"bucketed-{kind}")
+        name = f"lealtia_{kind}_{path.rsplit('-', 1)[1]}"
+        create_bucketed(table, name, ID, BUCKETS, path)
+        tables.append(spark.table(name))
+    return cf.customer_features(*tables, CATEGORIES, busy_rows=None)
+
+
 @query
 def feat_supervised(spark, sf_dir):
     return supervised(spark, sf_dir)
@@ -306,6 +388,14 @@ def stat_correlation(spark, sf_dir):
     return matrix.select("feature_1", "feature_2", "correlation")
 
 
+@query
+def stat_correlation_blocks(spark, sf_dir):
+    """The same matrix from blocks of columns, as a table with very many of them needs it."""
+    features = staged(full_features(spark, sf_dir), "features")
+    pairs = co.correlation_pairs(features, width=NARROW_BLOCK)
+    return co.both_halves(pairs).select("feature_1", "feature_2", "correlation")
+
+
 @query
 def stat_high_pairs(spark, sf_dir):
     return co.high_pairs(co.correlation_pairs(staged(full_features(spark, sf_dir), "features")))
