@@ -27,6 +27,8 @@ CATEGORY_NAMES = {
     "SALUD Y BELLEZA": "SALUD_BELLEZA",
 }
 DAYS_PER_YEAR = 365
+#: Doubles below this have at most 26 digits before the point, which leaves 12 of 38 behind it.
+DECIMALS_UPTO = 1e26
 #: Doubles from here on have no decimals.
 WHOLE_FROM = 2.0**53
 
@@ -63,7 +65,7 @@ def decimal_part(value: Column) -> Column:
 def odd_part(value: Column) -> Column:
     """What :func:`decimal_part` cannot hold; null for all other values."""
     value = value.cast("double")
-    return F.when(decimal_part(value).isNull(), value)
+    return F.when(~(F.abs(value) < DECIMALS_UPTO), value)
 
 
 def whole_sum(decimals: Column, odd: Column) -> Column:

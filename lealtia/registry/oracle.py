@@ -665,3 +665,54 @@ statement(
     QUOTAS,
     SPLIT,
 )
+
+
+# What every fitted model has to meet: the conditions of its minimum, by name.
+SLIM_FEATURES = [
+    "estrato_social",
+    "saldo_puntos",
+    "edad",
+    "num_tx_total",
+    "total_gasto",
+    "recencia_dias",
+    "log_num_tx_total",
+    "log_total_gasto",
+    "num_tx_3m",
+    "gasto_3m",
+    "puntos_ganados_3m",
+    "puntos_redimidos_3m",
+    "num_tx_6m",
+    "gasto_6m",
+    "puntos_ganados_6m",
+    "puntos_redimidos_6m",
+    "gasto_TECNOLOGIA_12m",
+    "pct_tecnologia_12m",
+    "compra_tecnologia",
+    "avg_gasto_tecnologia_3m",
+    "avg_gasto_tecnologia_6m",
+]
+ORACLE["ml_elasticnet_optimality"] = f"SELECT unnest({['intercept', *SLIM_FEATURES]}) AS condition, true AS holds"
+ORACLE["ml_huber_optimality"] = f"SELECT unnest({['intercept', 'scale', *SLIM_FEATURES]}) AS condition, true AS holds"
+
+FORMULAS = {"flat": 3.0, "plain": 4.6, "steep": 6.0}
+SCORED = f"""{SLIM}, {supervised_table(plain)}, scored AS (SELECT *, CASE WHEN score > -0.5 AND score <= 0.5 THEN 'sin_compra'
+    WHEN score > 0.5 AND score <= 1.5 THEN 'baja' WHEN score > 1.5 AND score <= 2.5 THEN 'media'
+    WHEN score > 2.5 AND score <= 3.5 THEN 'alta' END AS predicted FROM (
+    SELECT model, target_compra_tecnologia AS truth, list_position({CLASSES}, target_compra_tecnologia) - 1 AS code,
+    total_gasto / (total_gasto + 500000) * factor - 0.8::DOUBLE AS score FROM supervised, (
+    {' UNION ALL '.join(f"SELECT '{n}' AS model, {f}::DOUBLE AS factor" for n, f in FORMULAS.items())})))"""
+MEASURED = f"""hits AS (SELECT model, avg(CASE WHEN truth = predicted THEN 1.0 ELSE 0.0 END) AS accuracy,
+    {rounded(mean('abs(code - score)'))} AS mae FROM scored GROUP BY model),
+per_class AS (SELECT model, c, CAST(count(*) FILTER (WHERE truth = c AND predicted = c) AS DOUBLE) AS hit,
+    CAST(count(*) FILTER (WHERE predicted = c) AS DOUBLE) AS called, CAST(count(*) FILTER (WHERE truth = c) AS DOUBLE) AS support
+    FROM scored, (SELECT unnest({CLASSES}) AS c) GROUP BY ALL),
+weighted AS (SELECT model, sum(coalesce(2 * hit / nullif(called + support, 0), 0) * support) / sum(support) AS f1
+    FROM per_class GROUP BY model)"""
+statement(
+    "ml_metrics_of_scores",
+    f"""SELECT model, 'mae_ordinal' AS metric, mae AS value FROM hits UNION ALL
+    SELECT model, 'accuracy', {rounded('accuracy')} FROM hits UNION ALL SELECT model, 'weighted_f1', {rounded('f1')} FROM weighted""",
+    SCORED,
+    MEASURED,
+)
+statement("ml_compare_of_scores", "SELECT model, mae AS mae_ordinal FROM hits", SCORED, MEASURED)

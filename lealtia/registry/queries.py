@@ -27,6 +27,7 @@ from lealtia.operators import correlation as co
 from lealtia.operators import evaluation as ev
 from lealtia.operators import explore as ex
 from lealtia.operators import features as fe
+from lealtia.operators import optimality as op
 from lealtia.operators import regressors as rg
 from lealtia.operators import reports as rp
 from lealtia.operators import sketches as sk
@@ -61,6 +62,8 @@ INCREMENTS = (1997, 1998)
 BUCKETS = 8
 # Columns in a block of the correlation that shows the blocked way on a table of some dozens.
 NARROW_BLOCK = 16
+# Factors of the formulas whose scores stand for three models.
+FORMULAS = {"flat": 3.0, "plain": 4.6, "steep": 6.0}
 
 QUERIES: dict[str, Query] = {}
 
@@ -640,6 +643,47 @@ def ml_huber(spark, sf_dir):
     return model_scores("huber", spark, sf_dir)
 
 
+def trained_on(name: str, spark: SparkSession, sf_dir: str):
+    prepared = tr.prepare(supervised(spark, sf_dir))
+    return tr.train(name, prepared), prepared.where(~F.col("is_test"))
+
+
+@query
+def ml_elasticnet_optimality(spark, sf_dir):
+    """Whether the fitted elastic net meets the conditions of its minimum on all training rows."""
+    trained, rows = trained_on("ElasticNet", spark, sf_dir)
+    return op.elastic_net_conditions(trained.model, rows, trained.features)
+
+
+@query
+def ml_huber_optimality(spark, sf_dir):
+    """Whether the fitted Huber regression meets the conditions of its minimum on all training rows."""
+    trained, rows = trained_on("huber", spark, sf_dir)
+    return op.huber_conditions(trained.model, rows, trained.features)
+
+
+def formula_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metric rows of three stored score tables, each a formula of the customers' spend."""
+    table = staged(supervised(spark, sf_dir), "supervised")
+    spend = F.col("total_gasto")
+    metrics = []
+    for name, factor in FORMULAS.items():
+        scored = table.select(ID, fe.TARGET, class_code(fe.TARGET).cast("double").alias("target_ordinal"), (spend / (spend + 500_000) * factor - 0.8).alias("prediction"))
+        stored = staged(scored.withColumn("predicted_class", score_class("prediction")), "predictions")
+        metrics.append(tr.metric_rows(tr.Trained(name, None, [], 0, stored)))
+    return metrics[0].unionByName(metrics[1]).unionByName(metrics[2])
+
+
+@query
+def ml_metrics_of_scores(spark, sf_dir):
+    return formula_metrics(spark, sf_dir)
+
+
+@query
+def ml_compare_of_scores(spark, sf_dir):
+    return tr.compare(formula_metrics(spark, sf_dir))
+
+
 @query
 def ml_gbt(spark, sf_dir):
     return model_scores("xgboost", spark, sf_dir)
