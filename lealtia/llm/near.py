@@ -25,15 +25,18 @@ from lealtia.llm.common import MULTIPLIER, Powers, letter_values, mixed, sized,
 SHINGLE = 5
 PERCENT = 75
 COORDINATES = 128
-#: Fewer equal coordinates than this have a chance below 1e-4 at a similarity of 0.75.
-MATCHES = 76
+#: Fewer equal coordinates than this have a chance of 1.9e-7 at a similarity of 0.75.
+MATCHES = 70
 #: Bits of each coordinate in the sketch that travels with a post.
 SKETCH_BITS = 8
-#: Minima of which one bit each is kept for the last comparison, and fewest equal bits of a link (chance below 1e-4).
+#: Minima of which four bits each are kept for the last comparison; fewest equal first bits, and fewest equal minima, of
+#: a link (chances 1.3e-7 and 1.5e-7 at a similarity of 0.75).
 LONG_BITS = 1024
-LONG_MATCHES = 857
-#: Neighbouring coordinates that a post of the last comparison holds: a link misses all 32 of them with a chance of 5e-6.
-BAND = 4
+LONG_PLANES = 4
+LONG_MATCHES = 839
+LONG_EQUAL = 713
+#: Neighbouring coordinates that a post of the last comparison holds: a link misses all of them with a chance of 1e-10.
+BAND = 3
 #: Seeds of the orders that pick the hubs of a list, per round. Lists of one group pick the same hubs.
 HUB_ROUNDS = ((1, 2, 3, 4), (5, 6, 7, 8, 9, 10))
 
@@ -138,7 +141,8 @@ def full_sets(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
 
 
 def long_sketches(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id`` and ``bits``: one bit of each of ``LONG_BITS`` minima, of every row that has shingles."""
+    """``doc_id`` and ``bits``: ``LONG_PLANES`` bits of each of ``LONG_BITS`` minima, plane by plane, of every row that
+    has shingles."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -147,8 +151,9 @@ def long_sketches(docs: DataFrame, width: int) -> DataFrame:
             bits = []
             for shingles in text_sets(batch.column(1), width, powers):
                 if len(shingles):
-                    ones = (signature(shingles, seeds) & np.uint64(1)).astype(np.uint8)
-                    bits.append(np.packbits(ones).view(np.int64))
+                    minima = signature(shingles, seeds)
+                    planes = [(minima >> np.uint64(p) & np.uint64(1)).astype(np.uint8) for p in range(LONG_PLANES)]
+                    bits.append(np.packbits(np.concatenate(planes)).view(np.int64))
                 else:
                     bits.append(None)
             yield pa.RecordBatch.from_arrays(
@@ -160,12 +165,14 @@ def long_sketches(docs: DataFrame, width: int) -> DataFrame:
 
 
 def band_posts(classes: DataFrame, coordinates: int) -> DataFrame:
-    """``id`` and ``token`` for every group of ``BAND`` neighbouring coordinates."""
+    """``id``, ``token`` for every group of ``BAND`` neighbouring coordinates, and the ``earlier`` ones of the same id."""
     groups = [
         F.xxhash64(F.lit(first), *[F.get("tokens", F.lit(first + k)) for k in range(BAND)])
         for first in range(0, coordinates, BAND)
     ]
-    return classes.select(F.col("doc_id").alias("id"), F.explode(F.array(*groups)).alias("token"))
+    each = classes.select(F.col("doc_id").alias("id"), F.array(*groups).alias("bands")).distinct()
+    placed = each.select("id", "bands", F.posexplode("bands").alias("place", "token"))
+    return placed.select("id", "token", F.slice("bands", F.lit(1), F.col("place")).alias("earlier"))
 
 
 def prefix_posts(classes: DataFrame, coordinates: int, matches: int) -> DataFrame:
@@ -210,21 +217,29 @@ def agreeing(
 def agreeing_closely(
     open_posts: DataFrame, docs: DataFrame, classes: DataFrame, coordinates: int, width: int, percent: int
 ) -> DataFrame:
-    """Pairs (``a``, ``b``) of classes in open lists whose components differ, of like size and with like long sketches."""
+    """Pairs (``a``, ``b``) of classes in open lists whose components differ, of like size and with like long sketches.
+
+    A pair becomes a row only in the first list that both are in, and only if its sketches pass.
+    """
     nodes = open_posts.select("id", "component").distinct()
     some = docs.join(sized(nodes.select(F.col("id").alias("open_id"))), F.col("doc_id") == F.col("open_id"), "left_semi")
     bits = stored(long_sketches(some, width), "near-long")
     found = classes.join(nodes, F.col("doc_id") == F.col("id"))
     traits = found.select("id", "component", "n_shingles").join(bits, F.col("id") == F.col("doc_id")).drop("doc_id")
-    posts = band_posts(found.drop("id"), coordinates).distinct().join(traits, "id")
-    one = posts.toDF("a", "token", "x", "size_a", "bits_a")
-    two = posts.toDF("b", "token", "y", "size_b", "bits_b")
+    posts = band_posts(found.drop("id"), coordinates).join(traits, "id")
+    one = posts.toDF("a", "token", "earlier_a", "x", "size_a", "bits_a")
+    two = posts.toDF("b", "token", "earlier_b", "y", "size_b", "bits_b")
     like = (F.col("size_a") * 100 >= F.col("size_b") * percent) & (F.col("size_b") * 100 >= F.col("size_a") * percent)
-    words = range(LONG_BITS // 64)
-    unequal = sum((F.bit_count(F.get("bits_a", F.lit(w)).bitwiseXOR(F.get("bits_b", F.lit(w)))) for w in words), F.lit(0))
+    words = LONG_BITS // 64
+    gap = lambda w: F.get("bits_a", w).bitwiseXOR(F.get("bits_b", w))
+    unequal = sum((F.bit_count(gap(F.lit(w))) for w in range(words)), F.lit(0))
     close = unequal <= LONG_BITS - LONG_MATCHES
-    met = one.join(two, (one["token"] == two["token"]) & (F.col("x") < F.col("y")) & like & close)
-    return met.select("a", "b").distinct()
+    any_plane = lambda w: reduce(Column.bitwiseOR, [gap(w + p * words) for p in range(LONG_PLANES)])
+    places = F.sequence(F.lit(0), F.lit(words - 1))
+    closer = F.aggregate(places, F.lit(0), lambda n, w: n + F.bit_count(any_plane(w))) <= LONG_BITS - LONG_EQUAL
+    first = ~F.exists(F.zip_with("earlier_a", "earlier_b", lambda p, q: p == q), lambda same: same)
+    met = one.join(two, (one["token"] == two["token"]) & (F.col("x") < F.col("y")) & like & close & closer & first)
+    return met.select("a", "b")
 
 
 def hubs_of(placed: DataFrame, seeds: Sequence[int]) -> DataFrame:
@@ -295,9 +310,12 @@ def near_duplicates(
 
     Two texts are linked if 100 * intersection >= percent * union of their shingle sets. A null, empty or
     blank text has no shingles and is linked with nothing. Rows of one id are one node, linked through
-    any of their texts. A row without an id has no component and is kept. Extra columns are left out;
-    an empty table gives no rows.
+    any of their texts. A row without an id has no component and is kept. Extra columns are left out, whatever
+    their names; an empty table gives no rows. Very long texts count whole, in slices of a few MB at a time.
+
+    A link at exactly the similarity is lost with a chance of 4.7e-7, all stages together; closer ones with less.
     """
+    docs = docs.select("doc_id", "text")
     rows = stored(signatures(docs, width, coordinates), "near-signatures")
     named = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     key = ["n_shingles", "set_a", "set_b"]
@@ -309,7 +327,6 @@ def near_duplicates(
     )
     posts = stored(prefix_posts(classes, coordinates, matches), "near-posts")
 
-    tested = {"classes": classes, "coordinates": coordinates, "matches": matches, "percent": percent}
     tested = {"classes": classes, "coordinates": coordinates, "matches": matches, "percent": percent}
     placed, links = posts.withColumn("component", F.col("id")), None
     for seeds in HUB_ROUNDS:
