@@ -9,6 +9,7 @@ others, those remain that the classifier accepts.
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 
@@ -28,17 +29,18 @@ CONTEXT = 32
 
 # The strict patterns.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# An address is four numbers; runs of numbers with a point between neighbours hold them one after the other.
+NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
-# Loose patterns: what the strict ones leave out.
+# Loose patterns: what the strict ones leave out. The one for mail begins at the sign; the local part is before it.
 LOOSE = [
-    ("email", re.compile(r"[A-Za-z0-9._%+-]+ ?(?:(?:\(at\)|\[at\]) ?[A-Za-z0-9-]+(?: ?(?:\(dot\)|\[dot\]| dot |\.) ?[A-Za-z0-9-]+)+"
-        r"| ?at [A-Za-z0-9-]+(?: ?(?:\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]+)+)")),
+    ("email", re.compile(r" ?(?:(?:\(at\)|\[at\]) ?[A-Za-z0-9-]+(?: ?(?:\(dot\)|\[dot\]| dot |\.) ?[A-Za-z0-9-]+)+"
+        r"| at [A-Za-z0-9-]+(?: ?(?:\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]+)+)")),
     ("ip", re.compile(r"\b(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}\b")),
     ("card", re.compile(r"(?<![0-9])[0-9]{4}(?:[\x20./-][0-9]{4}){3}(?![0-9])")),
     ("phone", re.compile(r"(?<![0-9+.])(?:\(0[0-9]{1,4}\)|0[0-9]{1,4})[\x20/-][0-9][\x20/0-9-]{4,}[0-9](?![0-9.])")),
@@ -80,12 +82,23 @@ def strict_emails(text: str) -> Iterator[tuple[int, int]]:
             last = match.end()
 
 
+def strict_addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Runs of four numbers with points between, leftmost first, none of them above 255."""
+    for match in NUMBERS.finditer(text):
+        parts, start = match.group().split("."), match.start()
+        for first in range(0, len(parts) - 3, 4):
+            four = parts[first : first + 4]
+            end = start + sum(map(len, four)) + 3
+            bare = [part.lstrip("0") or "0" for part in four]
+            if all(len(part) <= 3 and int(part) <= 255 for part in bare):
+                yield start, end
+            start = end + 1
+
+
 def strict_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the strict patterns, by start and then kind."""
     found = [(s, e, 0) for s, e in strict_emails(text)] if "@" in text else []
-    for match in IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in match.group().split(".")):
-            found.append((match.start(), match.end(), 1))
+    found += [(s, e, 1) for s, e in strict_addresses(text)]
     for match in CARD.finditer(text):
         digits = match.group().replace(" ", "").replace("-", "")
         if 14 <= len(digits) <= 19 and luhn(digits):
@@ -125,6 +138,20 @@ def features_of(text: str, start: int, end: int, kind: str, votes: str) -> str:
     return f"{kind}|{votes[1:]}|{min(n_digits, 20) // 4}|{min(marks, 6) // 2}"
 
 
+def loose_matches(text: str, kind: str, pattern: re.Pattern) -> Iterator[tuple[int, int]]:
+    """Matches of a loose pattern; those of mail with the local part before their sign, and none without one."""
+    last = 0
+    for match in pattern.finditer(text):
+        start = match.start()
+        if kind == "email":
+            while start > last and text[start - 1] in LOCAL:
+                start -= 1
+            if start == match.start():
+                continue
+        yield start, match.end()
+        last = match.end()
+
+
 def candidates(text: str) -> list[dict]:
     """All strict and loose spans of a whole text; loose ones do not overlap others of their kind."""
     masked = any(mark in text for mark in MASKS)
@@ -135,9 +162,11 @@ def candidates(text: str) -> list[dict]:
         if kind == "email" and not masked or kind == "ip" and text.count(":") < 7:
             continue
         taken = [(s, e) for s, e, k, _ in spans if k == kind]
-        for match in pattern.finditer(text):
-            if all(match.end() <= s or match.start() >= e for s, e in taken):
-                spans.append((match.start(), match.end(), kind, False))
+        for start, end in loose_matches(text, kind, pattern):
+            # Spans of one kind do not overlap, so only the last one that begins before the end can be in the way.
+            before = bisect.bisect_left(taken, (end,)) - 1
+            if before < 0 or taken[before][1] <= start:
+                spans.append((start, end, kind, False))
     rows = []
     for start, end, kind, strict in sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]))):
         votes = votes_of(text, start, end, kind, strict)
