@@ -20,6 +20,8 @@ from lealtia.llm.common import SMALL_ROWS, stored
 
 #: A subtree is template if it is on at least so many pages of its host, however large the host is.
 MIN_PAGES = 3
+#: Inside an article it is template only on so many pages and on at least half of its host's pages.
+MIN_ARTICLE_PAGES = 10
 #: Templates travel as one list per host up to so many on a host; beyond, every page gets those that it holds.
 LIST_ROWS = 1_000
 
@@ -42,12 +44,79 @@ MARKS = frozenset(
     " subscribe toolbar topbar widget contentinfo complementary search".split()
 )
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in RAW}
 MARKED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 WORD = re.compile(r"[a-z0-9]+")
 
 
+class Tags:
+    """The tags and comments of a source in order, in time that grows with its length.
+
+    A quoted value may hold any sign. A sign that opens a tag which never ends is text.
+    """
+
+    def __init__(self, source: str) -> None:
+        self.source = source
+        self._ahead: dict[str, int] = {}
+        self._hopeless: set[int] = set()
+
+    def _next(self, sign: str, at: int) -> int:
+        """Place of the next ``sign`` from ``at`` on, else the length; the last answer serves while it is ahead."""
+        place = self._ahead.get(sign, -1)
+        if place < at:
+            place = self.source.find(sign, at)
+            self._ahead[sign] = place = len(self.source) if place < 0 else place
+        return place
+
+    def _end(self, at: int) -> int:
+        """Place behind the sign that ends the tag whose name ends at ``at``, or -1."""
+        passed = []
+        while True:
+            close, quote = self._next(">", at), min(self._next('"', at), self._next("'", at))
+            if close < quote:
+                return close + 1
+            # What begins before a mark from which no way led to an end does not end either.
+            if quote == len(self.source) or quote in self._hopeless:
+                break
+            passed.append(quote)
+            at = self.source.find(self.source[quote], quote + 1) + 1
+            if not at:
+                break
+        self._hopeless.update(passed)
+        return -1
+
+    def __iter__(self) -> Iterator[tuple[int, int, bool, str | None, str]]:
+        """First and end place, whether it closes, lower-case name (None for a comment), attributes."""
+        source, at = self.source, 0
+        while True:
+            start = source.find("<", at)
+            if start < 0:
+                return
+            at = start + 1
+            if source.startswith("<!--", start):
+                end = source.find("-->", start + 4)
+                at = len(source) if end < 0 else end + 3
+                yield start, at, False, None, ""
+            elif source[at : at + 1] in ("!", "?"):
+                end = self._next(">", at)
+                if end < len(source):
+                    at = end + 1
+                    yield start, at, False, None, ""
+            elif match := NAME.match(source, start):
+                end = self._end(match.end())
+                if end < 0:
+                    continue
+                at, name = end, match.group(2).lower()
+                attributes = source[match.end() : end - 1]
+                yield start, end, bool(match.group(1)), name, attributes
+                if name in RAW and not match.group(1) and not attributes.endswith("/"):
+                    # Nothing is markup inside until its own end tag, or the end of the page.
+                    close = RAW_END[name].search(source, end)
+                    at = close.start() if close else len(source)
+
+
 class Page:
     """The elements of a page, and its texts in order, each with its element and its block."""
 
@@ -55,34 +124,40 @@ class Page:
         self.tags, self.parents, self.dropped, self.hashes = ["html"], [-1], [False], [0]
         self.texts: list[tuple[int, int, str]] = []
         self._content: list[list[str]] = [[]]
+        self._wrappers: set[int] = set()
         self._stack, self._block = [0], 0
         self._parse(source)
         while len(self._stack) > 1:
             self._close()
+        self._keep_wrappers()
+
+    def _keep_wrappers(self) -> None:
+        """A form, or an element marked by a word, stays if it is around the article, else around the main part,
+        else around the first heading."""
+        for tag in ("article", "main", "h1"):
+            first = next((i for i, t in enumerate(self.tags) if t == tag and not self.dropped[i]), None)
+            if first is not None:
+                node = self.parents[first]
+                while node > 0:
+                    if node in self._wrappers:
+                        self.dropped[node] = False
+                    node = self.parents[node]
+                return
 
     def _parse(self, source: str) -> None:
-        at, until = 0, ""
-        for match in TAG.finditer(source):
-            name = match.group(2)
-            if until:  # inside an element without markup
-                if name is None or not match.group(1) or name.lower() != until:
-                    continue
-                at, until = match.end(), ""
-                self._close()
-                continue
-            if match.start() > at:
-                self._text(source[at : match.start()])
-            at = match.end()
+        at, raw = 0, False
+        for start, end, closes, name, attributes in Tags(source):
+            if start > at and not raw:
+                self._text(source[at:start])
+            at, raw = end, False
             if name is None:
                 continue
-            name = name.lower()
-            if match.group(1):
+            if closes:
                 self._end(name)
             else:
-                self._start(name, match.group(3))
-                if name in RAW and not match.group(3).endswith("/"):
-                    until = name
-        if not until and at < len(source):
+                self._start(name, attributes)
+                raw = name in RAW and not attributes.endswith("/")
+        if not raw and at < len(source):
             self._text(source[at:])
 
     def _text(self, text: str) -> None:
@@ -103,10 +178,13 @@ class Page:
         if name in VOID or name in ("html", "body"):
             return
         dropped = name in DROPPED or name == "header" and not self.inside(self._stack[-1], "article")
+        wrapper = name == "form"
         if attributes and not dropped and name not in ("article", "main"):
-            dropped = bool(HIDDEN.search(attributes)) or any(
-                not MARKS.isdisjoint(WORD.findall((a or b or c).lower())) for a, b, c in MARKED.findall(attributes)
-            )
+            dropped = bool(HIDDEN.search(attributes))
+            if not dropped:
+                dropped = wrapper = any(
+                    not MARKS.isdisjoint(WORD.findall((a or b or c).lower())) for a, b, c in MARKED.findall(attributes)
+                )
         elif attributes and name == "article":
             dropped = any(
                 not {"comment", "comments", "reply", "related"}.isdisjoint(WORD.findall((a or b or c).lower()))
@@ -115,6 +193,8 @@ class Page:
         self.tags.append(name)
         self.parents.append(self._stack[-1])
         self.dropped.append(dropped)
+        if dropped and wrapper:
+            self._wrappers.add(len(self.tags) - 1)
         self.hashes.append(0)
         self._content.append([])
         self._stack.append(len(self.tags) - 1)
@@ -164,10 +244,10 @@ class Page:
         return within, holds
 
     def subtrees(self) -> dict[int, int]:
-        """Hash of every element that could be template, by its number."""
+        """Hash of every element that could be template, by its number; odd for one inside the article."""
         within, holds = self.areas()
         return {
-            i: self.hashes[i]
+            i: self.hashes[i] & ~1 | within[i]
             for i in range(1, len(self.tags))
             if self.hashes[i] and not holds[i] and self.tags[i] in BLOCK and not (within[i] and self.tags[i] in RUNNING)
         }
@@ -216,16 +296,15 @@ def page_subtrees(pages: DataFrame) -> DataFrame:
 def site_templates(found: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """``host`` and ``subtree`` of what stands on many of a host's pages, from its ``page_subtrees``.
 
-    Pages with the same text count once, whatever their addresses, menus in marked elements or scripts.
+    Pages with the same text count once, whatever their addresses, menus in marked elements or scripts. What stands
+    inside articles, such as the same body under the parts of a serial, has to be on half of the host's pages.
     """
-    return (
-        found.select("host", "page", F.explode("subtrees").alias("subtree"))
-        .distinct()
-        .groupBy("host", "subtree")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") >= min_pages)
-        .select("host", "subtree")
-    )
+    counts = found.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    single = found.select("host", "page", F.explode("subtrees").alias("subtree")).distinct()
+    counted = single.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+    inside = F.col("subtree") % 2 == 1
+    often = (F.col("n") >= MIN_ARTICLE_PAGES) & (2 * F.col("n") >= F.col("pages"))
+    return counted.join(counts, "host").where(~inside | often).select("host", "subtree")
 
 
 def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES, list_rows: int = LIST_ROWS) -> DataFrame:
@@ -233,7 +312,8 @@ def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES, list_rows: i
 
     A null or empty source, or a page of template alone, gives an empty text. Pages without an address
     share one nameless host; repeated rows each give a row; extra columns are left out. An empty table
-    gives no rows. Texts are never cut; an element that holds an article or a main heading is no template.
+    gives no rows. Texts are never cut; an element that holds an article or a main heading is no template, and
+    neither its class nor being a form deletes it. Very long sources take time in proportion to their length.
     """
     found = stored(page_subtrees(pages), "page-subtrees")
     templates = stored(site_templates(found, min_pages), "site-templates")
