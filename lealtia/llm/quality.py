@@ -19,6 +19,9 @@ SMOOTHING = 1.0
 #: How often the share of good documents lost counts against the share of bad ones rejected, and the steps of a threshold.
 LOSS_WEIGHT = 10
 STEPS = 1000
+# Blanks between words, and the characters counted as symbols.
+BLANKS = " \t\n\x0b\x0c\r"
+SYMBOLS = "#*$%&|<>"
 WORD_BREAK = r"[ \t-\r]+"
 REPEAT_WINDOW = 5
 MIN_WORDS = 10
@@ -26,7 +29,13 @@ MAX_REPEAT_PERCENT = 20
 
 
 def word_list(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), lambda w: w != "")
+    """Words of a text; without blanks at its ends no piece of the split is empty."""
+    bare = F.trim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, WORD_BREAK))
+
+
+def chars_without(text: Column, left_out: str) -> Column:
+    return F.char_length(F.translate(text, left_out, "")).cast("long")
 
 
 def with_words(df: DataFrame, text_column: str) -> DataFrame:
@@ -70,8 +79,8 @@ def base_rules(df: DataFrame, text_column: str = "text") -> DataFrame:
     return (
         with_words(df, text_column)
         .withColumn("n_words", F.size("__q_words").cast("long"))
-        .withColumn("word_chars", F.aggregate("__q_words", F.lit(0).cast("long"), lambda a, w: a + F.char_length(w)))
-        .withColumn("n_symbols", F.char_length(F.regexp_replace(text, "[^#*$%&|<>]+", "")).cast("long"))
+        .withColumn("word_chars", chars_without(text, BLANKS))
+        .withColumn("n_symbols", F.char_length(text) - chars_without(text, SYMBOLS))
         .withColumn("__q_lines", lines)
         .withColumn("n_dup_lines", (F.size("__q_lines") - F.size(F.array_distinct("__q_lines"))).cast("long"))
         .withColumn("__q_five", windows_hash(F.col("__q_hash"), REPEAT_WINDOW))
@@ -120,47 +129,52 @@ def plain_weights(counts: DataFrame, buckets: int, smoothing: float) -> DataFram
 
 
 def shared_weights(counts: DataFrame, buckets: int, smoothing: float) -> DataFrame:
-    """``target`` and ``seen`` counts smoothed towards the raw shares, their totals, and ``weights``.
+    """``target``, ``seen`` and ``prior`` counts, the totals, and ``weights``, as one struct.
 
-    The log of target share over raw share, less that of the labelled documents' share over raw share: a
-    bucket that few labelled documents hold weighs about nothing, however common it is in the corpus.
+    The trusted target stands for the good part of the whole corpus: a bucket's target mass is its raw count times the
+    share of its labelled n-grams that are in good documents, smoothed towards the share in all labelled ones by a
+    prior dealt out as the raw corpus is. So what few labels cover is not held against a document, and a bucket without
+    labels weighs nothing. The weight is the log of the bucket's share of the target mass over its share of the raw
+    corpus, where the target mass as a whole is the good share of the raw one.
     """
-    mass = smoothing * buckets
-    smooth = lambda n, r: n + mass * r / F.greatest(F.col("raws"), F.lit(1))
-    shares = counts.select(
-        F.zip_with("target", "raw", smooth).alias("target"),
-        F.zip_with("seen", "raw", smooth).alias("seen"),
-        (F.col("targets") + mass).alias("targets"),
-        (F.col("seens") + mass).alias("seens"),
-    )
+    prior = F.transform("raw", lambda r: F.lit(smoothing * buckets) * r / F.greatest(F.col("raws"), F.lit(1)))
+    good = (F.col("targets") + 1) / (F.col("seens") + 2)
+    target_mass = F.zip_with("target", "prior", lambda t, p: t + good * p)
     # a bucket without n-grams is never read
-    weight = lambda t, s: F.when(s > 0, F.log(t / F.col("targets")) - F.log(s / F.col("seens"))).otherwise(F.lit(0.0))
-    return shares.select(F.struct("target", "seen", "targets", "seens", F.zip_with("target", "seen", weight).alias("weights")).alias("w"))
+    kept = F.zip_with(target_mass, F.zip_with("seen", "prior", lambda s, p: s + p), lambda t, s: F.when(s > 0, t / s))
+    weights = F.transform(kept, lambda k: F.coalesce(F.log(k / good), F.lit(0.0)))
+    whole = counts.withColumn("prior", prior)
+    return whole.select(F.struct("target", "seen", "prior", "targets", "seens", weights.alias("weights")).alias("w"))
 
 
 def held_out(w: Column, grams: Column, good: Column) -> Column:
-    """Sum of the weights of a labelled document's n-grams, without its own counts: equal buckets become neighbours."""
-
-    def part(bucket: Column, n: Column) -> Column:
-        target = (F.get(w["target"], bucket) - n * good) / (w["targets"] - F.size(grams) * good)
-        seen = (F.get(w["seen"], bucket) - n) / (w["seens"] - F.size(grams))
-        return n * (F.log(target) - F.log(seen))
-
-    def step(acc: Column, g: Column) -> Column:
-        same = acc["last"] == g
-        return F.struct(
-            g.alias("last"),
-            F.when(same, acc["n"] + 1).otherwise(F.lit(1)).alias("n"),
-            F.when(same | (acc["n"] == 0), acc["sum"]).otherwise(acc["sum"] + part(acc["last"], acc["n"])).alias("sum"),
+    """Sum of the weights of a labelled document's n-grams as they are without its own label: equal buckets become
+    neighbours."""
+    size = F.size(grams)
+    share = (w["targets"] - size * good + 1) / (w["seens"] - size + 2)
+
+    def of(share: Column) -> Column:
+        def part(bucket: Column, n: Column) -> Column:
+            prior = F.get(w["prior"], bucket)
+            return n * F.log((F.get(w["target"], bucket) - n * good + share * prior) / (F.get(w["seen"], bucket) - n + prior))
+
+        def step(acc: Column, g: Column) -> Column:
+            same = acc["last"] == g
+            return F.struct(
+                g.alias("last"),
+                F.when(same, acc["n"] + 1).otherwise(F.lit(1)).alias("n"),
+                F.when(same | (acc["n"] == 0), acc["sum"]).otherwise(acc["sum"] + part(acc["last"], acc["n"])).alias("sum"),
+            )
+
+        start = F.struct(F.lit(-1).alias("last"), F.lit(0).alias("n"), F.lit(0.0).alias("sum"))
+        return F.aggregate(
+            F.sort_array(grams),
+            start,
+            step,
+            lambda acc: F.when(acc["n"] > 0, acc["sum"] + part(acc["last"], acc["n"]) - size * F.log(share)).otherwise(F.lit(0.0)),
         )
 
-    start = F.struct(F.lit(-1).alias("last"), F.lit(0).alias("n"), F.lit(0.0).alias("sum"))
-    return F.aggregate(
-        F.sort_array(grams),
-        start,
-        step,
-        lambda acc: F.when(acc["n"] > 0, acc["sum"] + part(acc["last"], acc["n"])).otherwise(F.lit(0.0)),
-    )
+    return bound(share, of)
 
 
 def learned_threshold(judged: DataFrame) -> DataFrame:
