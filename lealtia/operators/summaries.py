@@ -8,6 +8,8 @@ From such summaries come micro-clusters for a hierarchy, and silhouettes with a
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
 import numpy as np
@@ -27,6 +29,10 @@ MOST = 1_024
 FAN_IN = 8
 #: Points inserted at once.
 BLOCK = 1_024
+#: Rows compared at once with all that wait to stand on their own, and points measured at once.
+STANDING, MEASURED = 256, 128
+#: Labellings whose summaries are made side by side; their last merges have few tasks each.
+SIDE_BY_SIDE = 8
 #: Factor by which a limit is raised.
 RAISE = 1.25
 
@@ -79,45 +85,113 @@ def union(parts: Summaries) -> Summaries:
     return Summaries(np.array([size]), centre[None, :], np.array([spread]))
 
 
-def closest(a: Summaries, b: Summaries) -> np.ndarray:
-    """For each summary of ``a`` the number of the nearest centre of ``b``."""
-    return ((b.centre**2).sum(axis=1) - 2.0 * (a.centre @ b.centre.T)).argmin(axis=1)
-
-
 def absorbed(held: Summaries, new: Summaries, limit: float) -> Summaries:
     """``held`` with every one of ``new`` taken into its nearest summary, or standing on its own, none over ``limit``.
 
     What one summary takes in at once is the longest run, nearest first, whose union keeps the limit.
     """
+    place, gap = np.zeros(len(new.size), np.int64), np.full(len(new.size), np.inf)
+    changed = np.arange(len(held.size))
     while len(new.size):
-        place = closest(new, held) if len(held.size) else np.zeros(len(new.size), np.int64)
+        place, gap = nearer(new, held, changed, place, gap)
         fits = merged_radius(new, held.rows(place)) <= limit if len(held.size) else np.zeros(len(new.size), bool)
         left = np.ones(len(new.size), bool)
-        for target in np.unique(place[fits]):
-            own = np.flatnonzero(fits & (place == target))
-            apart = ((new.centre[own] - held.centre[target]) ** 2).sum(axis=1)
-            own = own[np.argsort(apart, kind="stable")]
-            fewest, most = 1, len(own)
-            while fewest < most:
-                middle = (fewest + most + 1) // 2
-                whole = union(held.rows(np.array([target])).beside(new.rows(own[:middle])))
-                fewest, most = (middle, most) if whole.radius()[0] <= limit else (fewest, middle - 1)
-            whole = union(held.rows(np.array([target])).beside(new.rows(own[:fewest])))
-            for column, value in zip(held, whole):
-                column[target] = value[0]
-            left[own[:fewest]] = False
+        if fits.any():
+            left[taken_in(held, new, place, np.flatnonzero(fits), limit)] = False
+        targets = np.unique(place[~left])
         # What fits nowhere stands on its own, but for what fits one that now does: that is tried again.
-        waiting = np.flatnonzero(~fits)
-        alone = []
-        while len(waiting):
-            alone.append(waiting[0])
-            first = new.rows(np.full(len(waiting) - 1, waiting[0]))
-            waiting = waiting[1:][merged_radius(new.rows(waiting[1:]), first) > limit]
+        alone = standing(new, np.flatnonzero(~fits), limit)
         left[alone] = False
-        held, new = held.beside(new.rows(np.array(alone, np.int64))), new.rows(left)
+        changed = np.concatenate([targets, len(held.size) + np.arange(len(alone))])
+        held, new, place, gap = held.beside(new.rows(alone)), new.rows(left), place[left], gap[left]
     return held
 
 
+def nearer(a: Summaries, b: Summaries, changed: np.ndarray, place: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each summary of ``a`` the number of the nearest centre of ``b`` and the squared distance less the length
+    of ``a``, from those before some of ``b`` have changed."""
+
+    def among(some: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        centres = b.centre[picked]
+        rough = (centres**2).sum(axis=1) - 2.0 * (a.centre[some] @ centres.T)
+        best = rough.argmin(axis=1)
+        return picked[best], rough[np.arange(len(best)), best]
+
+    if not len(changed):
+        return place, gap
+    place, gap = place.copy(), gap.copy()
+    stale = np.isin(place, changed)
+    rest, again = np.flatnonzero(~stale), np.flatnonzero(stale)
+    found, near = among(rest, changed)
+    better = (near < gap[rest]) | ((near == gap[rest]) & (found < place[rest]))
+    place[rest[better]], gap[rest[better]] = found[better], near[better]
+    if len(again):
+        place[again], gap[again] = among(again, np.arange(len(b.size)))
+    return place, gap
+
+
+def taken_in(held: Summaries, new: Summaries, place: np.ndarray, own: np.ndarray, limit: float) -> np.ndarray:
+    """Those of the rows ``own`` of ``new`` that ``held`` takes in, each at its ``place``; ``held`` is changed.
+
+    All summaries search for the length of their runs at once, each by halving.
+    """
+    apart = ((new.centre[own] - held.centre[place[own]]) ** 2).sum(axis=1)
+    own = own[np.lexsort((apart, place[own]))]
+    targets, starts, counts = np.unique(place[own], return_index=True, return_counts=True)
+    run = np.repeat(np.arange(len(targets)), counts)
+    rank = np.arange(len(own)) - starts[run]
+    into = held.rows(targets)
+    gap = new.centre[own] - into.centre[run]
+
+    def unions(first: np.ndarray) -> Summaries:
+        """Each target with the first so many of its run."""
+        some = np.where(rank < first[run], new.size[own], 0.0)
+        size = into.size + np.add.reduceat(some, starts)
+        step = np.add.reduceat(some[:, None] * gap, starts, axis=0) / size[:, None]
+        inner = np.where(some > 0, new.spread[own], 0.0) + some * ((gap - step[run]) ** 2).sum(axis=1)
+        spread = into.spread + into.size * (step**2).sum(axis=1) + np.add.reduceat(inner, starts)
+        return Summaries(size, into.centre + step, spread)
+
+    fewest, most = np.ones(len(targets), np.int64), counts.copy()
+    while (fewest < most).any():
+        middle = (fewest + most + 1) // 2
+        keeps = unions(middle).radius() <= limit
+        fewest, most = np.where(keeps, middle, fewest), np.where(keeps, most, middle - 1)
+        most = np.maximum(fewest, most)
+    for column, value in zip(held, unions(fewest)):
+        column[targets] = value
+    return own[rank < fewest[run]]
+
+
+def standing(new: Summaries, waiting: np.ndarray, limit: float) -> np.ndarray:
+    """The first of the rows ``waiting``, the next one that does not fit it, the next that fits neither, and so on."""
+    alone: list[int] = []
+    squared = (new.centre**2).sum(axis=1)
+    count = 8
+    while len(waiting):
+        first, count = waiting[:count], min(2 * count, STANDING)
+        a, b = new.rows(first), new.rows(waiting)
+        size = a.size[:, None] + b.size
+        apart = squared[first][:, None] + squared[waiting] - 2.0 * (a.centre @ b.centre.T)
+        share = a.size[:, None] * b.size / size
+        radius = (a.spread[:, None] + b.spread + share * apart) / size
+        close = radius <= limit**2
+        # Where rounding could decide, the differences do.
+        unsure = 1e-12 * (limit**2 + radius + share / size * (squared[first][:, None] + squared[waiting]))
+        i, j = np.nonzero(~(np.abs(radius - limit**2) > unsure))
+        for at in range(0, len(i), STANDING * STANDING):
+            p, q = i[at : at + STANDING * STANDING], j[at : at + STANDING * STANDING]
+            close[p, q] = merged_radius(a.rows(p), b.rows(q)) <= limit
+        free = np.ones(len(waiting), bool)
+        for row in range(len(first)):
+            if free[row]:
+                alone.append(first[row])
+                free &= ~close[row]
+        free[: len(first)] = False
+        waiting = waiting[free]
+    return np.array(alone, np.int64)
+
+
 def tightened(held: Summaries, limit: float, most: int) -> tuple[Summaries, float]:
     """At most ``most`` summaries, with the limit raised as far as that takes."""
     while len(held.size) > most:
@@ -222,11 +296,8 @@ def silhouette_bounds(points: DataFrame, labels: Sequence[str], most: int = 256)
     the summaries, of which a cluster has at most ``most``; with a summary per different point the error is 0.
     Points of a cluster of one have the silhouette 0, as have all points where there is only one cluster.
     """
-    found = None
-    for name in labels:
-        one = bounds_of(points, name, most)
-        found = one if found is None else found.unionByName(one)
-    return found
+    with ThreadPool(SIDE_BY_SIDE) as pool:
+        return reduce(DataFrame.unionByName, pool.map(lambda name: bounds_of(points, name, most), labels))
 
 
 def bounds_of(points: DataFrame, label: str, most: int) -> DataFrame:
@@ -257,8 +328,8 @@ def bounds_of(points: DataFrame, label: str, most: int) -> DataFrame:
             marks = np.searchsorted(names, batch.column(0).to_numpy(zero_copy_only=False))
             flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
             x_all = flat.reshape(len(batch), -1) if len(batch) else centre[:0]
-            for start in range(0, len(x_all), BLOCK):
-                x, own = x_all[start : start + BLOCK], marks[start : start + BLOCK]
+            for start in range(0, len(x_all), MEASURED):
+                x, own = x_all[start : start + MEASURED], marks[start : start + MEASURED]
                 row = np.arange(len(x))
                 apart = np.maximum(0.0, squared - 2.0 * (x @ centre.T) + (x**2).sum(axis=1)[:, None])
                 # Rounding leaves a little of a distance that is none.
