@@ -85,51 +85,29 @@ def union(parts: Summaries) -> Summaries:
     return Summaries(np.array([size]), centre[None, :], np.array([spread]))
 
 
+def closest(a: Summaries, b: Summaries) -> np.ndarray:
+    """For each summary of ``a`` the number of the nearest centre of ``b``."""
+    return ((b.centre**2).sum(axis=1) - 2.0 * (a.centre @ b.centre.T)).argmin(axis=1)
+
+
 def absorbed(held: Summaries, new: Summaries, limit: float) -> Summaries:
     """``held`` with every one of ``new`` taken into its nearest summary, or standing on its own, none over ``limit``.
 
     What one summary takes in at once is the longest run, nearest first, whose union keeps the limit.
     """
-    place, gap = np.zeros(len(new.size), np.int64), np.full(len(new.size), np.inf)
-    changed = np.arange(len(held.size))
     while len(new.size):
-        place, gap = nearer(new, held, changed, place, gap)
+        place = closest(new, held) if len(held.size) else np.zeros(len(new.size), np.int64)
         fits = merged_radius(new, held.rows(place)) <= limit if len(held.size) else np.zeros(len(new.size), bool)
         left = np.ones(len(new.size), bool)
         if fits.any():
             left[taken_in(held, new, place, np.flatnonzero(fits), limit)] = False
-        targets = np.unique(place[~left])
         # What fits nowhere stands on its own, but for what fits one that now does: that is tried again.
         alone = standing(new, np.flatnonzero(~fits), limit)
         left[alone] = False
-        changed = np.concatenate([targets, len(held.size) + np.arange(len(alone))])
-        held, new, place, gap = held.beside(new.rows(alone)), new.rows(left), place[left], gap[left]
+        held, new = held.beside(new.rows(alone)), new.rows(left)
     return held
 
 
-def nearer(a: Summaries, b: Summaries, changed: np.ndarray, place: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each summary of ``a`` the number of the nearest centre of ``b`` and the squared distance less the length
-    of ``a``, from those before some of ``b`` have changed."""
-
-    def among(some: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        centres = b.centre[picked]
-        rough = (centres**2).sum(axis=1) - 2.0 * (a.centre[some] @ centres.T)
-        best = rough.argmin(axis=1)
-        return picked[best], rough[np.arange(len(best)), best]
-
-    if not len(changed):
-        return place, gap
-    place, gap = place.copy(), gap.copy()
-    stale = np.isin(place, changed)
-    rest, again = np.flatnonzero(~stale), np.flatnonzero(stale)
-    found, near = among(rest, changed)
-    better = (near < gap[rest]) | ((near == gap[rest]) & (found < place[rest]))
-    place[rest[better]], gap[rest[better]] = found[better], near[better]
-    if len(again):
-        place[again], gap[again] = among(again, np.arange(len(b.size)))
-    return place, gap
-
-
 def taken_in(held: Summaries, new: Summaries, place: np.ndarray, own: np.ndarray, limit: float) -> np.ndarray:
     """Those of the rows ``own`` of ``new`` that ``held`` takes in, each at its ``place``; ``held`` is changed.
 
@@ -152,14 +130,23 @@ def taken_in(held: Summaries, new: Summaries, place: np.ndarray, own: np.ndarray
         spread = into.spread + into.size * (step**2).sum(axis=1) + np.add.reduceat(inner, starts)
         return Summaries(size, into.centre + step, spread)
 
+    def whole(k: int, length: int) -> Summaries:
+        return union(into.rows(np.array([k])).beside(new.rows(own[starts[k] : starts[k] + length])))
+
     fewest, most = np.ones(len(targets), np.int64), counts.copy()
     while (fewest < most).any():
         middle = (fewest + most + 1) // 2
-        keeps = unions(middle).radius() <= limit
+        rough = unions(middle)
+        keeps = rough.radius() <= limit
+        # Where rounding could decide, the union itself does.
+        unsure = 1e-12 * (limit**2 + (rough.centre**2).sum(axis=1)) + 1e-9 * limit**2
+        for k in np.flatnonzero((fewest < most) & (np.abs(rough.spread / rough.size - limit**2) <= unsure)):
+            keeps[k] = whole(k, middle[k]).radius()[0] <= limit
         fewest, most = np.where(keeps, middle, fewest), np.where(keeps, most, middle - 1)
         most = np.maximum(fewest, most)
-    for column, value in zip(held, unions(fewest)):
-        column[targets] = value
+    for k, target in enumerate(targets):
+        for column, value in zip(held, whole(k, fewest[k])):
+            column[target] = value[0]
     return own[rank < fewest[run]]
 
 
