@@ -155,3 +155,17 @@ def test_repeated_block_is_template_but_not_a_running_paragraph():
     page = site_text.Page("<div><ul><li>Home</ul></div><article><p>Text</p><div><b>Buy</b></div></article>")
     subtrees = set(page.subtrees().values())
     assert page.main_text(frozenset(subtrees)) == "Text"
+
+
+def test_unknown_words_are_encoded_by_the_model_alone():
+    own = tokens.Encoder(tokens.WORD_VOCABULARY)
+    whole, asked = own.known.encode, []
+    own.known.encode = lambda piece, **how: asked.append(piece) or whole(piece, **how)
+    words = ["Dretionwhheha", "éémentß", "ÉÉMENTß", "ñandú", "xÿþø", tokens.SMALL, tokens.CAPITALS, "ab\ncd", "It's", "ﬁx", "K", "x́y", "a\x85b"]
+    text = " ".join(words) + "\n  Añb,\t(zw) 12x\xa0Ωq"
+    assert own.encode(words + [text]) == [np.array([*whole(t, add_special_tokens=False).ids, 1], "<u4").tobytes() for t in words + [text]]
+    assert asked and not [piece for piece in asked if tokens.WORD.fullmatch(piece)]
+
+
+def test_a_vocabulary_that_keeps_capitals_has_no_letter_forms():
+    assert tokens.Encoder(tokens.BYTE_VOCABULARY).known.forms is None
