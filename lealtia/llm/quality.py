@@ -34,22 +34,23 @@ def word_list(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, WORD_BREAK))
 
 
-def chars_without(text: Column, left_out: str) -> Column:
-    return F.char_length(F.translate(text, left_out, "")).cast("long")
-
-
 def with_words(df: DataFrame, text_column: str) -> DataFrame:
-    return df.withColumn("__q_words", word_list(F.col(text_column))).withColumn(
+    hashed = df.withColumn("__q_words", word_list(F.col(text_column))).withColumn(
         "__q_hash", F.transform("__q_words", lambda w: F.xxhash64(w))
     )
+    return hashed.withColumn("__q_pairs", pairs_hash(F.col("__q_hash")))
 
 
-def windows_hash(hashes: Column, width: int) -> Column:
-    """A hash of every run of ``width`` neighbours."""
-    return F.transform(
-        F.slice(hashes, 1, F.greatest(F.size(hashes) - (width - 1), F.lit(0))),
-        lambda _, i: F.xxhash64(*[F.get(hashes, i + k) for k in range(width)]),
-    )
+def neighbours_hash(left: Column, right: Column, apart: int) -> Column:
+    """A hash of every element of ``left`` with the one ``apart`` places on in ``right``, beside each other in two lists: no
+    element is looked up by its place. An element without one on the right is left out."""
+    count = F.greatest(F.size(right) - apart, F.lit(0))
+    return F.zip_with(F.slice(left, 1, count), F.slice(right, apart + 1, count), lambda a, b: F.xxhash64(a, b))
+
+
+def pairs_hash(hashes: Column) -> Column:
+    """A hash of every two neighbours."""
+    return neighbours_hash(hashes, hashes, 1)
 
 
 def covered_words(windows: Column, width: int) -> Column:
@@ -79,19 +80,24 @@ def base_rules(df: DataFrame, text_column: str = "text") -> DataFrame:
     return (
         with_words(df, text_column)
         .withColumn("n_words", F.size("__q_words").cast("long"))
-        .withColumn("word_chars", chars_without(text, BLANKS))
-        .withColumn("n_symbols", F.char_length(text) - chars_without(text, SYMBOLS))
+        .withColumn("word_chars", F.char_length(F.array_join("__q_words", "")).cast("long"))
+        .withColumn("n_symbols", F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long"))
         .withColumn("__q_lines", lines)
         .withColumn("n_dup_lines", (F.size("__q_lines") - F.size(F.array_distinct("__q_lines"))).cast("long"))
-        .withColumn("__q_five", windows_hash(F.col("__q_hash"), REPEAT_WINDOW))
+        .withColumn("__q_four", neighbours_hash(F.col("__q_pairs"), F.col("__q_pairs"), 2))
+        .withColumn("__q_five", neighbours_hash(F.col("__q_four"), F.col("__q_hash"), REPEAT_WINDOW - 1))
         .withColumn("n_repeat_words", covered_words(F.col("__q_five"), REPEAT_WINDOW))
         .withColumn("base_failed", (n < MIN_WORDS) | (F.col("n_repeat_words") * 100 > n * MAX_REPEAT_PERCENT))
     )
 
 
-def gram_buckets(hashes: Column, buckets: int) -> Column:
-    """Bucket of every word and of every pair of neighbouring words."""
-    return F.transform(F.concat(hashes, windows_hash(hashes, 2)), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+def bucket_of(h: Column, buckets: int) -> Column:
+    return F.pmod(h, F.lit(buckets)).cast("int")
+
+
+def gram_hashes() -> Column:
+    """The hash of every word and of every pair of neighbouring words."""
+    return F.concat("__q_hash", "__q_pairs")
 
 
 def label_marks(labels: DataFrame) -> DataFrame:
@@ -104,9 +110,8 @@ def bucket_counts(docs: DataFrame, marks: DataFrame, buckets: int = BUCKETS) ->
     """One row: per bucket the n-grams of all documents (``raw``), labelled ones (``seen``) and good ones (``target``),
     each an array with its sum (``raws``, ``seens``, ``targets``)."""
     marked = docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("__q_id"), "left")
-    grams = with_words(marked, "text").select(
-        "__q_good", F.explode(gram_buckets(F.col("__q_hash"), buckets)).alias("bucket")
-    )
+    hashed = with_words(marked, "text").select("__q_good", F.explode(gram_hashes()).alias("hash"))
+    grams = hashed.select("__q_good", bucket_of(F.col("hash"), buckets).alias("bucket"))
     names = ["raw", "seen", "target"]
     counts = grams.groupBy("bucket").agg(
         F.count("*").alias("raw"), F.count("__q_good").alias("seen"), F.coalesce(F.sum("__q_good"), F.lit(0)).alias("target")
@@ -221,8 +226,12 @@ def judge_documents(
     weights = (plain_weights if threshold is not None else shared_weights)(counts, buckets, smoothing)
     given = [c for c in docs.columns if c not in measures]
     own = given if columns is None else [c for c in columns if c in given]
-    grams = gram_buckets(F.col("__q_hash"), buckets)
-    plain = lambda w: F.aggregate(grams, F.lit(0.0), lambda a, g: a + F.get(w, g))
+    grams = F.transform(gram_hashes(), lambda h: bucket_of(h, buckets))
+
+    def plain(w: Column) -> Column:
+        added = lambda total, h: total + F.get(w, bucket_of(h, buckets))
+        return F.aggregate("__q_pairs", F.aggregate("__q_hash", F.lit(0.0), added), added)
+
     good = F.col("__q_good")
     length = F.size("__q_hash") + F.greatest(F.size("__q_hash") - 1, F.lit(0))
     rows = docs.select([F.col(f"`{c}`") for c in given])
@@ -232,7 +241,7 @@ def judge_documents(
         rows = rows.join(marks, F.col("doc_id") == F.col("__q_id"), "left")
         total = bound(
             F.col("__q_weights"),
-            lambda w: F.when(good.isNull(), plain(w["weights"])).otherwise(bound(grams, lambda g: held_out(w, g, good))),
+            lambda w: F.when(good.isNull(), bound(w["weights"], plain)).otherwise(bound(grams, lambda g: held_out(w, g, good))),
         )
     judged = (
         base_rules(rows)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lealtia.llm import common, differencing, fm_index, near, pii, planes, repeats, site_text, tokens
+from pyspark.sql import functions as F
+
+from lealtia.llm import common, differencing, fm_index, near, pii, planes, quality, repeats, site_text, tokens
 
 
 @pytest.mark.parametrize("vocabulary", [tokens.BYTE_VOCABULARY, tokens.WORD_VOCABULARY])
@@ -169,3 +172,18 @@ def test_unknown_words_are_encoded_by_the_model_alone():
 
 def test_a_vocabulary_that_keeps_capitals_has_no_letter_forms():
     assert tokens.Encoder(tokens.BYTE_VOCABULARY).known.forms is None
+
+
+def test_neighbours_are_hashed_beside_each_other(spark):
+    texts = ["", " \n\t", "a", "a b", "a b c d e", "x y z a b c d e\nx y z a b c d e", "# $5 <é> 😀😀 & | % * \x0b #\x85", None]
+    rows = quality.base_rules(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string"))
+    shown = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" not in shown  # a table is asked for every character
+    pairs = F.transform(F.slice("__q_words", 1, F.greatest(F.size("__q_words") - 1, F.lit(0))), lambda w, i: F.xxhash64(F.xxhash64(w), F.xxhash64(F.get("__q_words", i + 1))))
+    for row in rows.select("*", pairs.alias("pairs")).collect():
+        words = [w for w in re.split(r"[ \t-\r]+", row["text"] or "") if w]
+        assert row["__q_words"] == words and row["__q_pairs"] == row["pairs"] and len(row["__q_five"]) == max(len(words) - 4, 0)
+        five = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+        assert len(set(row["__q_five"])) == len(set(five))
+        assert row["word_chars"] == sum(map(len, words))
+        assert row["n_symbols"] == sum(c in "#*$%&|<>" for c in row["text"] or "")
