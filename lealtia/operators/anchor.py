@@ -48,9 +48,13 @@ def with_anchor(tx: DataFrame, months: Iterable[int] = (), busy_rows: int | None
     edges = [months_before(LAST_DATE, m).alias(edge(m)) for m in sorted(set(months) - {0})]
     if busy_rows is None:
         return known.join(counted.select(ID, LAST_DATE, *edges), ID)
-    # Both uses read the same two aggregates, so Spark computes them once and reuses the exchange.
+    # All uses read the same two aggregates, so Spark computes them once and reuses the exchange.
     busy = counted.where(F.col("_rows") >= busy_rows).select(ID, LAST_DATE, *edges)
     anchors = counted.where(F.col("_rows") > 0).select(ID, LAST_DATE, *edges)
     held = known.join(F.broadcast(busy), ID)
-    moved = known.join(F.broadcast(busy.select(ID)), ID, "left_anti").join(anchors, ID)
+    # No date is after the latest. Without it the date would be pruned here, and the aggregate made once more.
+    theirs = busy.select(F.col(ID).alias("_busy"), F.col(LAST_DATE).alias("_latest"))
+    mine = (F.col(ID) == F.col("_busy")) & F.coalesce(F.col("fecha") <= F.col("_latest"), F.lit(True))
+    # A few numbers per customer are hashed, so the transactions are not sorted.
+    moved = known.join(F.broadcast(theirs), mine, "left_anti").join(anchors.hint("shuffle_hash"), ID)
     return held.unionByName(moved)

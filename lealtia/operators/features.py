@@ -1,5 +1,6 @@
-"""Customer feature blocks. Each block is a list of aggregates over anchored transactions, so any mix
-of blocks is one pass over the table."""
+"""Customer feature blocks. Each block is a list of aggregates over anchored transactions and their measures, so any mix
+of blocks is one pass over the table. Conditions are SQL text for ``FILTER``: a sum is touched by the rows that count
+in it only, where a sum of conditional values would be read and written for every row."""
 
 from __future__ import annotations
 
@@ -13,23 +14,28 @@ from pyspark.sql import functions as F
 from lealtia.functions.scalars import (
     LOCAL_THRESHOLDS,
     canonical_category,
+    decimal_part,
     indicator,
     intensity_class,
     is_negative_sale,
     log10_plus_one,
     months_before,
     negative_part,
-    occurrences,
+    odd_part,
     parse_number,
     positive_part,
+    steady,
     total,
     whole_days,
+    whole_sum,
 )
-from lealtia.operators.anchor import ID, LAST_DATE, in_window, with_anchor
+from lealtia.operators.anchor import ID, LAST_DATE, edge, in_window, with_anchor
 
 TECH = "TECNOLOGIA"
 TARGET = "target_compra_tecnologia"
 MAX_CATEGORIES = 1_000
+#: What the measures of a transaction are made of: amount, points earned and points redeemed.
+MEASURES = ("_gasto", "_ganados", "_redimidos")
 
 
 class Window(NamedTuple):
@@ -82,13 +88,42 @@ def recency(as_of: datetime | None) -> Column:
     return whole_days(F.lit(as_of).cast("timestamp_ntz"), LAST_DATE)
 
 
+def measured(tx: DataFrame) -> DataFrame:
+    """Adds the measures, each as the decimal that is summed and, beside it, what a decimal cannot hold."""
+    values = (F.col("valor_transaccion"), positive_part("puntos"), negative_part("puntos"))
+    parts = {"": decimal_part, "_odd": odd_part}
+    return tx.withColumns({f"{m}{s}": part(v) for m, v in zip(MEASURES, values) for s, part in parts.items()})
+
+
+def inside(start: int, end: int | None) -> str:
+    """:func:`lealtia.operators.anchor.in_window` as SQL text."""
+    return f"fecha >= {edge(start)}" + ("" if end is None else f" AND fecha < {edge(end)}")
+
+
+def of_category(name: str) -> str:
+    escaped = name.replace("\\", "\\\\").replace("'", "\\'")
+    return f"categoria = '{escaped}'"
+
+
+def picked(measure: str, condition: str = "true") -> Column:
+    """A measure summed over the rows where ``condition`` holds, as :func:`lealtia.functions.scalars.total` does."""
+    decimals = F.expr(f"sum({measure}) FILTER (WHERE {condition})")
+    odd = F.expr(f"sum({measure}_odd) FILTER (WHERE {condition} AND {measure}_odd IS NOT NULL)")
+    return steady(F.coalesce(whole_sum(decimals, odd), F.lit(0.0)))
+
+
+def counted(condition: str = "true") -> Column:
+    """Number of transactions with an id where ``condition`` holds."""
+    return F.expr(f"count(id_transaccion) FILTER (WHERE {condition})")
+
+
 def profile_block() -> list[Column]:
     """Whole history: counts, spend, points earned and redeemed, negative sales."""
     return [
-        occurrences("id_transaccion").alias("num_tx_total"),
-        total("valor_transaccion").alias("total_gasto"),
-        total(positive_part("puntos")).alias("puntos_ganados_total"),
-        total(negative_part("puntos")).alias("puntos_redimidos_total"),
+        counted().alias("num_tx_total"),
+        picked("_gasto").alias("total_gasto"),
+        picked("_ganados").alias("puntos_ganados_total"),
+        picked("_redimidos").alias("puntos_redimidos_total"),
         F.count_if(is_negative_sale()).alias("num_tx_negativas"),
     ]
 
@@ -97,34 +132,33 @@ def slim_profile_block() -> list[Column]:
     return profile_block()[:2]
 
 
-def activity_block(name: str, inside: Column) -> list[Column]:
+def activity_block(name: str, condition: str = "true") -> list[Column]:
     """Count, spend, points earned and redeemed of the rows inside a window."""
     return [
-        occurrences("id_transaccion", inside).alias(f"num_tx_{name}"),
-        total("valor_transaccion", inside).alias(f"gasto_{name}"),
-        total(positive_part("puntos"), inside).alias(f"puntos_ganados_{name}"),
-        total(negative_part("puntos"), inside).alias(f"puntos_redimidos_{name}"),
+        counted(condition).alias(f"num_tx_{name}"),
+        picked("_gasto", condition).alias(f"gasto_{name}"),
+        picked("_ganados", condition).alias(f"puntos_ganados_{name}"),
+        picked("_redimidos", condition).alias(f"puntos_redimidos_{name}"),
     ]
 
 
 def window_block(windows: Sequence[Window] = FULL_WINDOWS) -> list[Column]:
-    return [c for w in windows for c in activity_block(w.name, in_window(w.start, w.end))]
+    return [c for w in windows for c in activity_block(w.name, inside(w.start, w.end))]
 
 
 def category_block(categories: Sequence[str]) -> list[Column]:
     """Spend of the last year per category, and over all named categories."""
-    recent = in_window(YEAR, None)
-    name = F.col("categoria")
-    spend = [total("valor_transaccion", recent & (name == c)).alias(f"gasto_{c}_12m") for c in categories]
-    return [*spend, total("valor_transaccion", recent & name.isNotNull()).alias("_gasto_12m")]
+    recent = inside(YEAR, None)
+    spend = [picked("_gasto", f"{recent} AND {of_category(c)}").alias(f"gasto_{c}_12m") for c in categories]
+    return [*spend, picked("_gasto", f"{recent} AND categoria IS NOT NULL").alias("_gasto_12m")]
 
 
 def tech_year_block() -> list[Column]:
     """Technology spend of the last year and spend on everything, uncategorised rows included."""
-    recent = in_window(YEAR, None)
+    recent = inside(YEAR, None)
     return [
-        total("valor_transaccion", recent & (F.col("categoria") == TECH)).alias(f"gasto_{TECH}_12m"),
-        total("valor_transaccion", recent).alias("_gasto_12m"),
+        picked("_gasto", f"{recent} AND {of_category(TECH)}").alias(f"gasto_{TECH}_12m"),
+        picked("_gasto", recent).alias("_gasto_12m"),
     ]
 
 
@@ -138,9 +172,8 @@ def tech_share(spend: str = f"gasto_{TECH}_12m") -> list[Column]:
 
 def tech_mean_block(windows: Sequence[Window] = TECH_WINDOWS) -> list[Column]:
     """Monthly mean of technology spend per window."""
-    is_tech = F.col("categoria") == TECH
     return [
-        (total("valor_transaccion", in_window(w.start, w.end) & is_tech) / w.months).alias(
+        (picked("_gasto", f"{inside(w.start, w.end)} AND {of_category(TECH)}") / w.months).alias(
             f"avg_gasto_tecnologia_{w.months}m"
         )
         for w in windows
@@ -149,8 +182,7 @@ def tech_mean_block(windows: Sequence[Window] = TECH_WINDOWS) -> list[Column]:
 
 def target_block(months: int = TARGET_MONTHS, category: str = TECH) -> list[Column]:
     """Purchases in the label window, which ends before the latest transaction."""
-    inside = in_window(months, 0) & (F.col("categoria") == category)
-    return [occurrences("id_transaccion", inside).alias("num_tx_target")]
+    return [counted(f"{inside(months, 0)} AND {of_category(category)}").alias("num_tx_target")]
 
 
 def log_columns(pairs: dict[str, str]) -> list[Column]:
@@ -159,14 +191,14 @@ def log_columns(pairs: dict[str, str]) -> list[Column]:
 
 def per_customer(anchored: DataFrame, *blocks: list[Column]) -> DataFrame:
     """One row per active customer with the columns of all blocks."""
-    return anchored.groupBy(ID, LAST_DATE).agg(*[c for block in blocks for c in block])
+    return measured(anchored).groupBy(ID, LAST_DATE).agg(*[c for block in blocks for c in block])
 
 
 def profile(tx: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Whole-history profile of the active customers; needs no join, the date is one more aggregate."""
     names = ["num_tx_total", "total_gasto", "puntos_ganados_total", "puntos_redimidos_total"]
     return (
-        tx.where(F.col(ID).isNotNull())
+        measured(tx.where(F.col(ID).isNotNull()))
         .groupBy(ID)
         .agg(F.max("fecha").alias(LAST_DATE), *profile_block())
         .select(ID, *names, recency(as_of).alias("recencia_dias"), "num_tx_negativas")
@@ -183,7 +215,7 @@ def window_features_as_of(tx: DataFrame, months: int, as_of: datetime) -> DataFr
     """Activity since ``months`` before a given date, for customers who have any."""
     start = months_before(F.lit(as_of).cast("timestamp_ntz"), months)
     recent = tx.where(F.col(ID).isNotNull() & (F.col("fecha") >= start))
-    return recent.groupBy(ID).agg(*activity_block(f"{months}m", F.lit(True)))
+    return measured(recent).groupBy(ID).agg(*activity_block(f"{months}m"))
 
 
 def tech_mean_as_of(tx: DataFrame, months: int, as_of: datetime) -> DataFrame:

@@ -48,7 +48,7 @@ def stored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     returned = F.col("l_returnflag") == "R"
     price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
     return (
-        lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
+        lineitem.join(orders.hint("shuffle_hash"), lineitem.l_orderkey == orders.o_orderkey)
         .join(part, lineitem.l_partkey == part.p_partkey)
         .select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id_transaccion"),

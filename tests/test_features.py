@@ -224,3 +224,35 @@ def test_category_lookup_refuses_too_many(tables, monkeypatch):
     monkeypatch.setattr(fe, "MAX_CATEGORIES", 2)
     with pytest.raises(ValueError, match="more than 2"):
         fe.category_values(tx)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_dates_are_aggregated_once(tables):
+    """The table of latest dates serves the busy customers, those that are left out and all others."""
+    tx, _ = tables
+    plan = plan_of(with_anchor(tx, [3]))
+    found = [line for line in plan.splitlines() if "HashAggregate" in line and "partial_" in line]
+    assert all("partial_max" in line and "partial_count" in line for line in found), plan
+    assert "SortMergeJoin" not in plan
+
+
+def test_sums_are_touched_by_their_own_rows_only(tables):
+    tx, cust = tables
+    plan = cf.customer_features(tx, cust)._jdf.queryExecution().optimizedPlan().toString()
+    assert "gasto_3m" in plan and "filter (where" in plan.lower()
+
+
+@pytest.mark.parametrize("name", ["L'ORÉAL", "a\\b", 'say "so"', "x' OR 'y' = 'y"])
+def test_category_names_of_any_kind(spark, name):
+    rows = [
+        (1, 5, "2024-05-31 00:00:00", name, "Sale", 10.0, 1.0),
+        (2, 5, "2024-05-30 00:00:00", "HOGAR", "Sale", 32.0, 1.0),
+        (3, 5, "2024-05-29 00:00:00", None, "Sale", 64.0, 1.0),
+    ]
+    tx = transactions(spark.createDataFrame(rows, TRANSACTIONS))
+    row = fe.per_customer(with_anchor(tx, [fe.YEAR]), fe.category_block([name, "HOGAR"])).first()
+    assert row[f"gasto_{name}_12m"] == 10.0
+    assert (row["gasto_HOGAR_12m"], row["_gasto_12m"]) == (32.0, 42.0)
