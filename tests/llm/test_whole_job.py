@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
-from lealtia.llm import quality, site_text
+import numpy as np
+from pyspark.sql import functions as F
+
+from lealtia.llm import common, quality, queries, repeats, site_text
 
 
 def corpus():
@@ -70,3 +74,65 @@ def test_templates_do_not_depend_on_the_size_of_the_host(spark):
     expected = dict(enumerate([f"Story {i}" for i in range(400)] + ["", "Home News\n\nOwn"]))
     assert texts(spark, pages) == expected
     assert texts(spark, pages, list_rows=0) == expected
+
+
+def periodic_texts():
+    """(id, text) of texts in which every string of 60 bytes holds its anchor twice; each second one is also elsewhere."""
+    rng = random.Random(11)
+    lines = ["".join(rng.choice("abcdefgh ") for _ in range(15)) for _ in range(120)]
+    texts = [(line * 6)[:75] for line in lines] + [(line[4:] + line * 6)[:70] for line in lines[::2]]
+    texts += ["".join(rng.choice("xyz ") for _ in range(80)) + line * 2 for line in lines[::3]]
+    return list(enumerate(texts))
+
+
+def kept_without_repeats(rows, length):
+    seen = Counter(t[k : k + length] for _, t in rows for k in range(len(t) - length + 1))
+    gone = lambda t: {k + j for k in range(len(t) - length + 1) if seen[t[k : k + length]] > 1 for j in range(length)}
+    return {i: "".join(c for k, c in enumerate(t) if k not in cut).encode() for i, t in rows for cut in [gone(t)]}
+
+
+def test_starts_without_alignment_have_no_common_core(spark):
+    docs = spark.createDataFrame(periodic_texts(), "id long, text string").withColumn("print", F.xxhash64("text"))
+    runs = repeats.anchor_runs(docs, 60, 30).select("id", "print", F.explode("runs").alias("r")).select("id", "print", "r.*")
+    loose = runs.where("loose")
+    parts = repeats.parts_of(docs, loose.withColumn("open", F.lit(True)), 60, repeats.BLOCKS[0])
+    starts = loose.agg(F.sum("n")).first()[0]
+    assert parts.count() == starts > 1000
+    assert parts.groupBy("core").count().agg(F.max("count")).first()[0] < 0.05 * starts
+    assert parts.where("n <> 1").count() == 0 and repeats.refined(parts)[1].count() == 0
+
+
+def test_repeats_in_periodic_texts_whether_cores_are_broadcast_or_not(spark, monkeypatch):
+    rows = periodic_texts()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = kept_without_repeats(rows, 60)
+    assert any(len(expected[i]) < len(t) for i, t in rows) and any(len(expected[i]) == len(t) for i, t in rows)
+    found = lambda: {r["doc_id"]: bytes(r["kept"]) for r in repeats.without_repeats(docs, length=60, gram=30).collect()}
+    assert found() == expected
+    monkeypatch.setattr(repeats, "sized", lambda small: small)
+    monkeypatch.setattr(repeats, "SMALL_ROWS", -1)
+    assert found() == expected
+
+
+def test_a_column_says_which_documents_lose_text(spark, tmp_path):
+    passage = " ".join(f"word{k}" for k in range(60))
+    texts = [f"one {passage}", f"two {passage}", " ".join(f"word{k}" for k in range(51)) + " and on", "short", None, "x" * 900]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op7_repeated_strings(spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert [r["has_repeats"] for r in found] == [r["n_removed"] > 0 for r in found] == [True, True, False, False, False, True]
+
+
+def test_sliding_hashes_are_those_of_every_stretch():
+    rng = np.random.default_rng(3)
+    for n, width in ((500, 30), (30, 30), (29, 30), (0, 30)):
+        hashes = repeats.ByteHashes(common.Powers(), common.letter_values(fold=False), rng.integers(0, 256, n, dtype=np.uint8))
+        places = np.arange(max(n - width + 1, 0))
+        assert hashes.sliding(width).tolist() == hashes.of(places, places + width).tolist()
+
+
+def test_slices_of_texts_do_not_change_the_result(spark, monkeypatch):
+    rows = periodic_texts()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(repeats, "SLICE", 100)
+    found = {r["doc_id"]: bytes(r["kept"]) for r in repeats.without_repeats(docs, length=60, gram=30).collect()}
+    assert found == kept_without_repeats(rows, 60)
